@@ -109,10 +109,10 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
-def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offs: np.ndarray, prefix: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of each word in page order, and the first word's index of each text (n + 1 of them).
 
-    A word is a run of ASCII letters, digits and bytes of other characters. ASCII letters and
+    With prefix, only so many bytes of each word count. A word is a run of ASCII letters, digits and bytes of other characters. ASCII letters and
     those of Latin-1 count without case.
     """
     hashes, starts, lo, end = [], [], 0, len(data)
@@ -142,6 +142,8 @@ def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if len(s):
             after = np.concatenate([is_word[1:], [False]])
             e = np.flatnonzero(is_word & (~after | fresh[1:])) + 1
+            if prefix:
+                e = np.minimum(e, s + prefix)
             total = np.concatenate([[_U(0)], np.cumsum(_VALUE[b] * _powers(_STEPS[0], len(b)), dtype=np.uint64)])
             hashes.append(mix((total[e] - total[s]) * _powers(_STEPS[1], len(b))[s] + (e - s).astype(np.uint64)))
             starts.append(s + lo)

@@ -3,9 +3,9 @@
 A text is the multiset of its runs of five words (case and punctuation don't count); two
 texts are near copies if their weighted Jaccard similarity is 0.8 or more. Equal texts
 collapse into one node before anything else is shuffled. Nodes that share a band are linked to
-the band's least node (never to one another in all pairs), links are verified on whole texts,
-and what the stars leave open is compared across components, pruned by the triangle
-inequality of the Jaccard distance.
+the band's head, the member that meets most others (never to one another in all pairs), links are
+verified on whole texts, and what the stars leave open is compared across components, pruned by the triangle
+inequality of the Jaccard distance and by the similarity that the whole signatures suggest.
 
 Defined cases: a null text is a class of its own. A text without words equals only the same
 text. Repeated rows and equal texts share a class. The class id is the least id of its rows
@@ -29,6 +29,8 @@ from .common import buffers, components, counted, free_name, materialize, mix, s
 SHINGLE, THRESHOLD = 5, 0.8
 #: At similarity 0.8 a pair shares none of 36 bands of 6 values with probability 2e-5.
 BANDS, BAND_ROWS = 36, 6
+#: Pairs across components whose signatures suggest a similarity of so many standard errors below the threshold are no candidates.
+ERRORS = 3.0
 
 _U = np.uint64
 
@@ -108,6 +110,25 @@ def bags(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return counted(*shingles(*words(*buffers(texts)), k))
 
 
+def nibbles(sig: np.ndarray) -> np.ndarray:
+    """Four hashed bits of each component of a signature, sixteen components in a long."""
+    n, m = sig.shape
+    four = np.zeros((n, -(-m // 16), 16), np.uint64)
+    four.reshape(n, -1)[:, :m] = mix(sig) >> _U(60)
+    return (four << (np.arange(16, dtype=np.uint64) * _U(4))).sum(axis=2, dtype=np.uint64).view(np.int64)
+
+
+def _unlike(x: str, y: str, longs: int):
+    """Number of nibbles in which two sketches differ, as a column."""
+    total = F.lit(0)
+    for i in range(longs):
+        d = F.col(x)[i].bitwiseXOR(F.col(y)[i])
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 2))
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
+        total = total + F.bit_count(d.bitwiseAND(F.lit(0x1111111111111111)))
+    return total
+
+
 def _signer(k: int, bands: int, rows: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = mix(np.arange(bands, dtype=np.uint64))
@@ -125,7 +146,9 @@ def _signer(k: int, bands: int, rows: int):
                 data, offs = buffers(texts)
                 raw, valid = data.tobytes(), texts.is_valid().to_pylist()
                 digest = [hashlib.md5(raw[x:y]).digest() if ok else None for x, y, ok in zip(offs[:-1].tolist(), offs[1:].tolist(), valid, strict=True)]
-                yield pa.RecordBatch.from_arrays([ids, pa.array(digest, pa.binary()), listed], ["id", "digest", "bands"])
+                sketch = nibbles(sig.reshape(len(texts), bands * rows))
+                longs = pa.ListArray.from_arrays(np.arange(0, sketch.size + 1, sketch.shape[1], dtype=np.int32), pa.array(sketch.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(digest, pa.binary()), listed, longs], ["id", "digest", "bands", "sketch"])
 
     return sign
 
@@ -159,7 +182,7 @@ def _similar(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     """(a, b, sim) for pairs (a, b) of nodes, by the multisets of their whole texts."""
     left = texts.select(F.col("nid").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("nid").alias("b"), F.col("text").alias("tb"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
+    joined = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "ta", "tb")
     return joined.mapInArrow(_verifier(k), "a long, b long, sim double")
 
 
@@ -171,19 +194,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     small_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    schema = T.StructType([T.StructField("id", slim.schema["id"].dataType), T.StructField("digest", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+    schema = T.StructType([T.StructField("id", slim.schema["id"].dataType), T.StructField("digest", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sketch", T.ArrayType(T.LongType()))])
     signed = materialize(slim.mapInArrow(_signer(k, bands, rows), schema), "signed")
 
-    nodes = signed.where("digest is not null").groupBy("digest").agg(F.min("id").alias("first_id"), F.first("bands").alias("bands"))
+    nodes = signed.where("digest is not null").groupBy("digest").agg(F.min("id").alias("first_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     nodes = materialize(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")  # written once, so the numbers stay
     banded = nodes.select("nid", F.explode("bands").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("nid").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "head")
-    members = materialize(banded.join(buckets, "key"), "members")
+    buckets = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = materialize(banded.join(buckets, "key"), "shared")
+    met = shared.groupBy("nid").agg(F.sum("n").alias("met"))
+    heads = shared.join(met, "nid").groupBy("key").agg(F.max(F.struct("met", "nid")).alias("h")).select("key", F.col("h.nid").alias("head"))
+    members = materialize(shared.join(heads, "key").select("key", "nid", "head"), "members")
 
     stars = members.where("nid <> head").select(F.col("head").alias("a"), F.col("nid").alias("b")).distinct()
     stars = materialize(stars, "stars")
     involved = materialize(stars.select("a").union(stars.select("b")).distinct().withColumnRenamed("a", "nid").join(nodes.select("nid", "digest"), "nid"), "involved")
-    texts = slim.where("text is not null").withColumn("digest", F.unhex(F.md5("text"))).join(involved, "digest").groupBy("nid").agg(F.first("text").alias("text"))
+    # A merge join at every size: what it shuffles follows the input, and Spark splits a digest with many copies.
+    texts = slim.where("text is not null").withColumn("digest", F.unhex(F.md5("text"))).hint("merge").join(involved, "digest").groupBy("nid").agg(F.first("text").alias("text"))
     texts = materialize(texts, "texts")
     near = materialize(_similar(stars, texts, k), "near")
     links = near.where(F.col("sim") >= threshold).select("a", "b")
@@ -196,9 +223,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     heads = parts.select(F.col("node").alias("head"), F.col("root").alias("head_root"))
     placed = placed.join(heads, "head", "left").withColumn("head_root", F.coalesce("head_root", "head"))
     placed = materialize(placed.select("key", "head", "nid", "far", "root", (F.col("root") != F.col("head_root")).alias("stray")), "placed")
-    strays = placed.where("stray").select("key", F.col("nid").alias("s"), F.col("far").alias("s_far"), F.col("root").alias("s_root"))
-    others = placed.where("nid <> head").select("key", "nid", "far", "root", "stray")
-    open_pairs = strays.join(others, "key").where((F.col("root") != F.col("s_root")) & (F.abs(F.col("far") - F.col("s_far")) <= 1 - threshold + 1e-9) & (~F.col("stray") | (F.col("s") < F.col("nid"))))
+    strays = placed.where("stray").join(nodes.select("nid", "sketch"), "nid").select("key", F.col("nid").alias("s"), F.col("far").alias("s_far"), F.col("root").alias("s_root"), F.col("sketch").alias("s_sketch"))
+    strays = materialize(strays, "strays")
+    others = placed.where("nid <> head").join(strays.select("key").distinct(), "key", "left_semi").join(nodes.select("nid", "sketch"), "nid").select("key", "nid", "far", "root", "stray", "sketch")
+    m = bands * rows
+    most = m * 15 / 16 * (1 - threshold) + ERRORS * (m * 15 / 16 * (1 - threshold) * (1 - 15 / 16 * (1 - threshold))) ** 0.5
+    apart = (F.col("root") != F.col("s_root")) & (~F.col("stray") | (F.col("s") < F.col("nid")))
+    hopeful = (F.abs(F.col("far") - F.col("s_far")) <= 1 - threshold + 1e-9) & (_unlike("sketch", "s_sketch", -(-m // 16)) <= most)
+    open_pairs = strays.join(others, "key").where(apart & hopeful)
     open_pairs = open_pairs.select(F.greatest("s", "nid").alias("b"), F.least("s", "nid").alias("a")).distinct()
     more = materialize(_similar(open_pairs, texts, k).where(F.col("sim") >= threshold).select("a", "b"), "more")
     if not more.isEmpty():

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dedup
+from . import mixing, near_dedup, quality, sharding
 from .common import table
 
 
@@ -15,8 +15,38 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select(F.col("id").alias("doc_id"), "class_id")
 
 
+def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every document: its size, its source's size and target, and the words the mix takes of it."""
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every document: the shard and the slot that the shuffle gives it, from the shuffled records."""
+    records = sharding.shuffle_into_shards(table(spark, sf_dir, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    return records.select(
+        "doc_id",
+        (F.octet_length(text) + 16).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the classifier selects: doc_id, expected grade and P(highest grade)."""
+    kept = quality.select(table(spark, sf_dir, "documents"), quality.graded(table(spark, sf_dir, "labels")))
+    return kept.select("doc_id", "expected_grade", "tail_probability")
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_mix": op2_mix,
+    "op3_sharding": op3_sharding,
+    "op9_quality": op9_quality,
 }
 
 ORACLES: dict[str, str] = {}
