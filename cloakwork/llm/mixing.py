@@ -90,7 +90,7 @@ def whole_copies(size: np.ndarray, count: np.ndarray, rate: np.ndarray, most: in
     """Copies of all documents of each cell together, cells in descending size: each makes up for the rounding so far."""
     out, owed = np.zeros(len(size), np.int64), 0.0
     for i, (z, n, r) in enumerate(zip(size.tolist(), count.tolist(), rate.tolist(), strict=True)):
-        low, high = math.floor(r + 1e-12) * n, min(most, math.ceil(r - 1e-12)) * n
+        low, high = max(0, math.floor(r) - 1) * n, min(most, math.ceil(r) + 1) * n
         out[i] = min(high, max(low, math.floor(r * n + (owed / z if z else 0) + 0.5)))
         owed += (r * n - out[i]) * z
     return out

@@ -223,14 +223,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     heads = parts.select(F.col("node").alias("head"), F.col("root").alias("head_root"))
     placed = placed.join(heads, "head", "left").withColumn("head_root", F.coalesce("head_root", "head"))
     placed = materialize(placed.select("key", "head", "nid", "far", "root", (F.col("root") != F.col("head_root")).alias("stray")), "placed")
-    strays = placed.where("stray").join(nodes.select("nid", "sketch"), "nid").select("key", F.col("nid").alias("s"), F.col("far").alias("s_far"), F.col("root").alias("s_root"), F.col("sketch").alias("s_sketch"))
+    signs = nodes.select("nid", "sketch", "bands")
+    strays = placed.where("stray").join(signs, "nid").select("key", F.col("nid").alias("s"), F.col("far").alias("s_far"), F.col("root").alias("s_root"), F.col("sketch").alias("s_sketch"), F.col("bands").alias("s_bands"))
     strays = materialize(strays, "strays")
-    others = placed.where("nid <> head").join(strays.select("key").distinct(), "key", "left_semi").join(nodes.select("nid", "sketch"), "nid").select("key", "nid", "far", "root", "stray", "sketch")
+    others = placed.where("nid <> head").join(strays.select("key").distinct(), "key", "left_semi").join(signs, "nid").select("key", "nid", "far", "root", "stray", "sketch", "bands")
     m = bands * rows
     most = m * 15 / 16 * (1 - threshold) + ERRORS * (m * 15 / 16 * (1 - threshold) * (1 - 15 / 16 * (1 - threshold))) ** 0.5
     apart = (F.col("root") != F.col("s_root")) & (~F.col("stray") | (F.col("s") < F.col("nid")))
     hopeful = (F.abs(F.col("far") - F.col("s_far")) <= 1 - threshold + 1e-9) & (_unlike("sketch", "s_sketch", -(-m // 16)) <= most)
-    open_pairs = strays.join(others, "key").where(apart & hopeful)
+    once = F.col("key") == F.coalesce(*[F.when(F.col("bands")[i] == F.col("s_bands")[i], F.col("bands")[i]) for i in range(bands)])  # in the first band that a pair shares
+    open_pairs = strays.join(others, "key").where(apart & hopeful & once)
     open_pairs = open_pairs.select(F.greatest("s", "nid").alias("b"), F.least("s", "nid").alias("a")).distinct()
     more = materialize(_similar(open_pairs, texts, k).where(F.col("sim") >= threshold).select("a", "b"), "more")
     if not more.isEmpty():

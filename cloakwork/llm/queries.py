@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, near_dedup, quality, sharding
+from . import decontamination, line_dedup, mixing, near_dedup, pii, quality, secrets, sharding, simhash
 from .common import table
+from .secrets import joined
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +37,43 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and digest of the base kinds, and all spans."""
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base, counts = F.col("base_spans"), {f"n_{kind}": secrets.count_of(F.col("base_spans"), kind) for kind in secrets.KINDS[:3]}
+    return found.select("doc_id", *[v.alias(k) for k, v in counts.items()], F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("secret_spans")).alias("spans"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page without its host's boilerplate lines."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", line_dedup.html_lines(F.col("html")).alias("text"))
+    return line_dedup.drop_site_lines(pages, line_dedup.host_of(F.col("url"))).select("page_id", "url", "text", "n_lines", "n_dropped")
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text; for ids divisible by 100 also how many others lie within the radius."""
+    prints = simhash.with_neighbours(simhash.fingerprint_documents(table(spark, sf_dir, "documents")))
+    return prints.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_near")
+
+
+def _is(kind: str):
+    return lambda x: x["kind"] == kind
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the base kinds, and all spans."""
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.col("base_spans")
+    counts = [F.size(F.filter(base, _is(kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("pii_spans")).alias("spans"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that leaks a benchmark item, with the item and what was found of it."""
+    found = decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "matched", "windows", "longest")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that the classifier selects: doc_id, expected grade and P(highest grade)."""
     kept = quality.select(table(spark, sf_dir, "documents"), quality.graded(table(spark, sf_dir, "labels")))
@@ -46,7 +84,12 @@ QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_mix": op2_mix,
     "op3_sharding": op3_sharding,
+    "op5_secrets": op5_secrets,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_simhash": op7_simhash,
+    "op8_pii": op8_pii,
     "op9_quality": op9_quality,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
