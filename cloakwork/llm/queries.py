@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, line_dedup, mixing, near_dedup, pii, quality, secrets, sharding, simhash
+from . import decontamination, html_text, line_dedup, mixing, near_dedup, pii, quality, secrets, sharding, simhash
 from .common import table
 from .secrets import joined
 
@@ -37,6 +37,12 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    read = html_text.extract(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and digest of the base kinds, and all spans."""
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -84,6 +90,7 @@ QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_mix": op2_mix,
     "op3_sharding": op3_sharding,
+    "op4_html": op4_html,
     "op5_secrets": op5_secrets,
     "op6_line_dedup": op6_line_dedup,
     "op7_simhash": op7_simhash,
