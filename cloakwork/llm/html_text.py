@@ -94,6 +94,10 @@ LABELLED = (
     (3, 0, 4, 0, 3, 100, 0, 1, 0),
     (2, 100, 2, 100, 3, 100, 0, 0, 0),
     (1, 100, 0, 0, 1, 100, 0, 0, 0),
+    (1, 100, 0, 0, 60, 0, 0, 0, 0),
+    (3, 100, 2, 100, 50, 0, 0, 0, 0),
+    (2, 100, 40, 0, 70, 0, 0, 0, 0),
+    (4, 100, 60, 0, 0, 0, 0, 0, 0),
     (12, 90, 10, 100, 14, 95, 0, 0, 0),
     (30, 80, 25, 90, 20, 85, 0, 0, 0),
     (6, 0, 3, 100, 4, 100, 0, 0, 0),

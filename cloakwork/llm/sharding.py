@@ -42,7 +42,7 @@ def shuffle_into_shards(docs: DataFrame, shards: int = SHARDS, text_col: str = "
     counts = scattered.groupBy(F.col(bucket).alias("b")).agg(F.count(F.lit(1)).alias("n"))
     before = counts.select(F.col("b").alias(bucket), (F.sum("n").over(Window.orderBy("b")) - F.col("n")).alias(offset))
     before = materialize(before, "offsets")  # one row for each bucket
-    parts = max(1, min(buckets, max(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets // 16)))
+    parts = max(1, min(buckets, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-buckets // 4))))
     dealt = scattered.join(before, bucket).repartition(parts, bucket).sortWithinPartitions(bucket, tie)
 
     shard, slot = free_name(docs, "shard"), free_name(docs, "slot")
