@@ -409,7 +409,7 @@ def verification_clean(spark, d):
 def _people_doubled(spark, d) -> Catalog:
     """Customers, twice: once with their names in capitals, under other keys."""
     c = _customer(spark, d)
-    again = c.withColumns({"c_custkey": -F.col("c_custkey"), "c_name": F.upper("c_name")})
+    again = c.withColumns({"c_custkey": -1 - F.col("c_custkey"), "c_name": F.upper("c_name")})
     people = _people(spark, d)
     return people.redeclared(d, people.tables | {"public.customer": c.unionByName(again)})
 
