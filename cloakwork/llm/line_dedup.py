@@ -33,7 +33,7 @@ def html_lines(html: Column) -> Column:
     """Text of an HTML page, a line for each block. Character references stay as they are."""
     t = F.regexp_replace(html, f"(?is)<!--.*?-->|<({HIDDEN})\\b.*?</\\1\\s*>", "")
     t = F.regexp_replace(t, r"\s+", " ")
-    t = F.regexp_replace(t, f"(?i)</?(?:{BLOCKS})(?=[\\s/>])[^>]*>", "\n")
+    t = F.regexp_replace(t, f"(?i)</?(?:{BLOCKS})(?:[\\s/][^>]*)?>", "\n")
     return F.trim(F.regexp_replace(F.regexp_replace(t, r"<[^>]*>", ""), r" *\n[ \n]*", "\n"), F.lit(" \n"))
 
 

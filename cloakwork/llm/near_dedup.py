@@ -238,11 +238,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not more.isEmpty():
         parts = materialize(components(links.union(more)), "parts")
 
-    classed = nodes.select("nid", "digest", "first_id").join(parts.withColumnRenamed("node", "nid"), "nid", "left").withColumn("root", F.coalesce("root", "nid"))
-    tied = classed.where("root <> nid").select("root").distinct()
-    tied = classed.join(tied, "root")  # only classes of several texts have to elect a representative
-    elected = tied.select("root", rep_of("first_id", "digest").alias("rep")).groupBy("root").agg(F.min("rep").alias("rep"))
-    named = classed.join(elected, "root", "left").select("digest", F.coalesce("rep", rep_of("first_id", "digest")).alias("rep"))
+    placed = parts.withColumnRenamed("node", "nid").join(nodes.select("nid", "digest", "first_id"), "nid")
+    elected = materialize(placed.groupBy("root").agg(F.min(rep_of("first_id", "digest")).alias("rep")), "elected")
+    tied = placed.join(elected, "root").select("digest", "rep")
+    named = nodes.select("digest", rep_of("first_id", "digest").alias("own")).join(tied, "digest", "left").select("digest", F.coalesce("rep", "own").alias("rep"))
     out = signed.select("id", "digest").join(named, "digest", "left")
     rep = F.coalesce("rep", rep_of("id", "digest"))
     return out.select("id", "digest", rep["id"].alias("class_id"), rep["digest"].alias("class_digest"))

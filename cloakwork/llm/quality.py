@@ -36,7 +36,7 @@ PREFIXES = (6, 8)
 SCALE = 5.0
 LEAST_FAR = 2.5
 _SHIFT = np.uint64(64 - BITS)
-KEEP_GRADE, KEEP_TAIL = 2, 0.5
+KEEP_GRADE, KEEP_TAIL = 2, 0.7
 
 
 @dataclass(frozen=True)

@@ -99,4 +99,51 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+
+def _spans_sql(kind: str, rank: int, pattern: str, keep: str) -> str:
+    """Matches of a pattern with their places: the pieces between the matches and the matches before add up."""
+    p = pattern.replace("'", "''")
+    return f"""SELECT doc_id, {rank} AS rank, '{kind}' AS kind, m[i] AS value, g[i] AS inner_value,
+CAST(list_sum(list_transform(b[1:i], lambda x: len(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: len(x))), 0) AS BIGINT) AS start
+FROM (SELECT doc_id, m, b, g, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{p}') AS m, regexp_split_to_array(text, '{p}') AS b, regexp_extract_all(text, '{p}', {2 if kind == "assign" else 0}) AS g FROM d)) WHERE {keep}"""
+
+
+_ALLOWED_SQL = " OR ".join(f"regexp_matches(value, '{p}')" for p in (secrets.ALLOWED[0], secrets.ALLOWED[2])) + " OR list_bool_or(list_transform(range(1, len(value) - 4), lambda i: len(list_distinct(string_split(value[i:i + 5], ''))) = 1))"
+_PEAK_SQL = f"list_max(list_transform(range(1, len(value) - {secrets.WINDOW - 2}), lambda i: list_aggregate(string_split(value[i:i + {secrets.WINDOW - 1}], ''), 'entropy')))"
+_JOINED = "string_agg(kind || ':' || start || ':' || start + len(value), ',' ORDER BY start, rank)"
+
+_OP5_SQL = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+base AS ({_spans_sql("assign", 0, secrets.ASSIGN, f"len(g[i]) >= {secrets.LEAST_ASSIGN}")} UNION ALL {_spans_sql("access", 1, secrets.ACCESS, f"len(m[i]) >= {secrets.LEAST_ACCESS}")} UNION ALL {_spans_sql("hex", 2, secrets.HEX, f"len(m[i]) >= {secrets.LEAST_HEX}")}),
+candidate AS ({_spans_sql("entropy", 3, secrets.CANDIDATE, "true")}),
+added AS (SELECT * FROM candidate WHERE regexp_matches(value, '[A-Za-z]') AND regexp_matches(value, '[0-9]') AND NOT ({_ALLOWED_SQL})
+ AND {_PEAK_SQL} >= CASE WHEN regexp_matches(value, '^[0-9a-fA-F]+$') THEN {secrets.THRESHOLDS["hex"]} ELSE {secrets.THRESHOLDS["base64"]} END
+ AND NOT EXISTS (SELECT 1 FROM base WHERE base.doc_id = candidate.doc_id AND base.start < candidate.start + len(candidate.value) AND candidate.start < base.start + len(base.value))),
+told AS (SELECT doc_id, {_JOINED} AS spans, count(*) FILTER (WHERE rank = 0) AS a, count(*) FILTER (WHERE rank = 1) AS b, count(*) FILTER (WHERE rank = 2) AS c FROM base GROUP BY doc_id),
+every AS (SELECT doc_id, {_JOINED} AS spans FROM (FROM base UNION ALL FROM added) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex, sha256(coalesce(told.spans, '')) AS base_sha256, coalesce(every.spans, '') AS spans
+FROM d LEFT JOIN told ON told.doc_id = d.doc_id LEFT JOIN every ON every.doc_id = d.doc_id"""
+
+_OP1_SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, text, regexp_extract_all(lower(text), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws FROM documents WHERE text IS NOT NULL),
+t AS (SELECT text, min(doc_id) AS id, any_value(ws) AS ws FROM w GROUP BY text),
+g AS (SELECT id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM t),
+c AS (SELECT id, s, count(*) AS n FROM g GROUP BY ALL),
+z AS (SELECT id, sum(n) AS n FROM c GROUP BY id),
+p AS (SELECT a.id AS a, b.id AS b, sum(least(a.n, b.n)) AS m FROM c a JOIN c b ON a.s = b.s AND a.id < b.id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN z za ON za.id = a JOIN z zb ON zb.id = b WHERE m >= 0.8 * (za.n + zb.n - m)),
+x AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r(id, root) AS (SELECT id, id FROM t UNION SELECT x.b, r.root FROM r JOIN x ON r.id = x.a),
+k AS (SELECT id, min(root) AS root FROM r GROUP BY id)
+SELECT d.doc_id, coalesce(k.root, d.doc_id) AS class_id FROM documents d LEFT JOIN t ON t.text = d.text LEFT JOIN k ON k.id = t.id"""
+
+_HIDDEN_SQL = "|".join(f"<{t}\\b.*?</{t}\\s*>" for t in line_dedup.HIDDEN.split("|"))
+_OP6_SQL = f"""WITH a AS (SELECT page_id, url, coalesce(nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), ''), '') AS host,
+ regexp_replace(regexp_replace(html, '<!--.*?-->|{_HIDDEN_SQL}', '', 'gis'), '\\s+', ' ', 'g') AS t FROM pages),
+b AS (SELECT page_id, url, host, trim(regexp_replace(regexp_replace(regexp_replace(t, '</?(?:{line_dedup.BLOCKS})(?:[\\s/][^>]*)?>', chr(10), 'gi'), '<[^>]*>', '', 'g'), ' *\\n[ \\n]*', chr(10), 'g'), ' ' || chr(10)) AS t FROM a),
+c AS (SELECT page_id, url, host, string_split(t, chr(10)) AS ls FROM b),
+n AS (SELECT host, count(*) AS pages FROM c GROUP BY host),
+f AS (SELECT host, l, count(*) AS n FROM (SELECT DISTINCT page_id, host, trim(l) AS l FROM (SELECT page_id, host, unnest(ls) AS l FROM c)) WHERE l <> '' GROUP BY ALL),
+bad AS (SELECT f.host, list(l) AS bad FROM f JOIN n ON n.host = f.host WHERE n.pages >= {line_dedup.LEAST_PAGES} AND f.n > {line_dedup.RATIO} * n.pages GROUP BY f.host),
+k AS (SELECT page_id, url, ls, list_filter(ls, lambda x: bad IS NULL OR NOT list_contains(bad, trim(x))) AS kept FROM c LEFT JOIN bad ON bad.host = c.host)
+SELECT page_id, url, array_to_string(kept, chr(10)) AS text, len(ls) AS n_lines, len(ls) - len(kept) AS n_dropped FROM k"""
+
+ORACLES: dict[str, str] = {"op1_near_dedup": _OP1_SQL, "op5_secrets": _OP5_SQL, "op6_line_dedup": _OP6_SQL}

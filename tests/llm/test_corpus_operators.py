@@ -525,7 +525,7 @@ def test_decontaminate_keeps_columns(spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     docs = frame(spark, LEAKY + [LEAKY[0]], item_id=7)
     kept = decontamination.decontaminate(docs, items)
-    assert kept.columns == docs.columns and not {r["doc_id"] for r in kept.collect()} & {0, 3, 8} and kept.count() >= 5
+    assert kept.columns == docs.columns and not {r["doc_id"] for r in kept.collect()} & {0, 3, 8} and kept.count() == 4
     assert decontamination.decontaminate(empty(spark), items).count() == 0
     assert decontamination.decontaminate(docs, items.limit(0)).count() == 9
 
