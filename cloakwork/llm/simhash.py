@@ -39,13 +39,13 @@ def fingerprints(texts: pa.Array, k: int = TERM_WORDS) -> np.ndarray:
     data, offs = buffers(texts)
     out, a = np.zeros(len(texts), np.uint64), 0
     while a < len(texts):
-        b = min(len(texts), max(a + 1, int(np.searchsorted(offs, offs[a] + (1 << 19), "right")) - 1))
+        b = min(len(texts), max(a + 1, int(np.searchsorted(offs, offs[a] + (1 << 18), "right")) - 1))
         terms, counts, at = counted(*shingles(*words(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a]), k))
         weight = np.rint(64 * (1 + np.log2(counts))).astype(np.int32)
         votes = np.zeros((b - a, 64), np.int64)
         owner = np.repeat(np.arange(b - a), np.diff(at))
-        for lo in range(0, len(terms), 1 << 16):  # a long text comes in parts
-            part = slice(lo, lo + (1 << 16))
+        for lo in range(0, len(terms), 1 << 14):  # a long text comes in parts
+            part = slice(lo, lo + (1 << 14))
             signed = np.unpackbits(terms[part].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).astype(np.int32)
             signed = (2 * signed - 1) * weight[part, None]
             first = np.flatnonzero(np.diff(owner[part], prepend=-1))
@@ -72,7 +72,7 @@ def _in_order(docs: DataFrame) -> DataFrame:
     the end of the bucket before, as a marker, and the very first row to the end of the last bucket.
     """
     spark = docs.sparkSession
-    wanted = min(MOST_BUCKETS, max(2, 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    wanted = min(MOST_BUCKETS, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     bounds = sorted({int(x) for x in docs.select("id").where("id is not null").approxQuantile("id", [i / wanted for i in range(1, wanted)], 0.2 / wanted)})
     bucket = F.size(F.filter(F.array(*[F.lit(x) for x in bounds]).cast("array<long>"), lambda x: x <= F.col("id"))) if bounds else F.lit(0)
     # Without an id a row is in the last bucket, which is number 0.
