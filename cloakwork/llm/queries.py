@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontamination, html_text, line_dedup, mixing, near_dedup, pii, quality, secrets, sharding, simhash
-from .common import table
+from .common import materialize, table
 from .secrets import joined
 
 
@@ -53,6 +53,7 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page without its host's boilerplate lines."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", line_dedup.html_lines(F.col("html")).alias("text"))
+    pages = materialize(pages, "lines")  # read twice: to count, and to drop
     return line_dedup.drop_site_lines(pages, line_dedup.host_of(F.col("url"))).select("page_id", "url", "text", "n_lines", "n_dropped")
 
 
@@ -135,10 +136,10 @@ r(id, root) AS (SELECT id, id FROM t UNION SELECT x.b, r.root FROM r JOIN x ON r
 k AS (SELECT id, min(root) AS root FROM r GROUP BY id)
 SELECT d.doc_id, coalesce(k.root, d.doc_id) AS class_id FROM documents d LEFT JOIN t ON t.text = d.text LEFT JOIN k ON k.id = t.id"""
 
-_HIDDEN_SQL = "|".join(f"<{t}\\b.*?</{t}\\s*>" for t in line_dedup.HIDDEN.split("|"))
+_HIDDEN_SQL = "|".join(f"{t}\\b.*?</{t}\\s*>" for t in line_dedup.HIDDEN.split("|"))
 _OP6_SQL = f"""WITH a AS (SELECT page_id, url, coalesce(nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), ''), '') AS host,
- regexp_replace(regexp_replace(html, '<!--.*?-->|{_HIDDEN_SQL}', '', 'gis'), '\\s+', ' ', 'g') AS t FROM pages),
-b AS (SELECT page_id, url, host, trim(regexp_replace(regexp_replace(regexp_replace(t, '</?(?:{line_dedup.BLOCKS})(?:[\\s/][^>]*)?>', chr(10), 'gi'), '<[^>]*>', '', 'g'), ' *\\n[ \\n]*', chr(10), 'g'), ' ' || chr(10)) AS t FROM a),
+ regexp_replace(regexp_replace(translate(html, chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     '), '<(?:!--.*?-->|{_HIDDEN_SQL}|/?(?:{line_dedup.BLOCKS})(?:[\\s/][^>]*)?>)', chr(10), 'gis'), '<[^>]*>', '', 'g') AS t FROM pages),
+b AS (SELECT page_id, url, host, trim(regexp_replace(regexp_replace(t, ' {{2,}}', ' ', 'g'), ' ?\\n[ \\n]*', chr(10), 'g'), ' ' || chr(10)) AS t FROM a),
 c AS (SELECT page_id, url, host, string_split(t, chr(10)) AS ls FROM b),
 n AS (SELECT host, count(*) AS pages FROM c GROUP BY host),
 f AS (SELECT host, l, count(*) AS n FROM (SELECT DISTINCT page_id, host, trim(l) AS l FROM (SELECT page_id, host, unnest(ls) AS l FROM c)) WHERE l <> '' GROUP BY ALL),
