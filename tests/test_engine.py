@@ -222,6 +222,30 @@ def test_jdbc_source(spark, tmp_path):
     assert got.count() == 20 and got.where("id = 3").first()[1] == "Denis No0003"
 
 
+def test_jdbc_introspection(spark, tmp_path):
+    from cloakwork.sources.jdbc_catalog import jdbc_catalog
+
+    driver, url = "org.apache.derby.iapi.jdbc.AutoloadedDriver", f"jdbc:derby:{tmp_path}/meta;create=true"
+    spark.range(1).write.format("jdbc").option("url", url).option("dbtable", "warmup").option("driver", driver).save()
+    con = spark.sparkContext._jvm.java.sql.DriverManager.getConnection(url)
+    for sql in (
+        "create table parent_one (l int not null, r int not null, primary key (r, l))",
+        "create table child_one (id int not null primary key, l int, r int, name varchar(40), code char(3) not null unique, constraint same_fk foreign key (r, l) references parent_one (r, l))",
+        "insert into parent_one values (1, 2)",
+        "insert into child_one values (1, 999, null, 'Ada', 'abc')",
+    ):
+        con.createStatement().execute(sql)
+    con.close()
+    c = jdbc_catalog(spark, url, driver)
+    assert {"APP.CHILD_ONE", "APP.PARENT_ONE"} <= set(c.tables) and not any(t.startswith("SYS") for t in c.tables)
+    assert c.primary_key("APP.PARENT_ONE").columns == ("R", "L")
+    assert [k.columns for k in c.keys if k.kind == "UNIQUE" and k.table == "APP.CHILD_ONE"] == [("CODE",)]
+    (fk,) = c.foreign_keys
+    assert (fk.table, fk.columns, fk.target, fk.target_columns) == ("APP.CHILD_ONE", ("R", "L"), "APP.PARENT_ONE", ("R", "L"))
+    assert c.lengths[ColumnRef("APP", "CHILD_ONE", "NAME")] == 40 and c["APP.CHILD_ONE"].first()["NAME"] == "Ada"
+    assert V.check_foreign_keys(spark, c, c).passed
+
+
 def test_publish_never_overwrites_its_source(spark, tmp_path):
     c = demo(spark, str(tmp_path / "src"))
     with pytest.raises(PolicyError):
