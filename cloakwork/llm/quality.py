@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,21 +73,28 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return index, np.concatenate([x[2] for x in parts])[order], np.searchsorted(text[order], np.arange(n + 1))
 
 
+def merged(index: np.ndarray, value: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same rows with each feature once: values of one feature of a text are added up."""
+    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    key, back = np.unique(owner * WIDTH + index, return_inverse=True)
+    total = np.bincount(back, value, minlength=len(key)).astype(np.float32)
+    return (key % WIDTH).astype(np.int32), total, np.searchsorted(key // WIDTH, np.arange(len(at)))
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
 def relevance(index: np.ndarray, at: np.ndarray, grades: np.ndarray) -> np.ndarray:
-    """How far each feature's frequency in some grade lies from what chance gives, in standard deviations.
+    """How far each feature's frequency in some grade lies from what chance gives, in standard deviations (rows of merged()).
 
     Features near chance get 0 and so drop out: they'd only let the model learn single texts by heart.
     """
-    seen = np.unique(np.repeat(np.arange(len(grades)), np.diff(at)) * WIDTH + index)
-    owner, feature = seen // WIDTH, seen % WIDTH
-    everywhere, far = np.bincount(feature, minlength=WIDTH), np.zeros(WIDTH)
+    everywhere, far = np.bincount(index, minlength=WIDTH), np.zeros(WIDTH)
     for k in np.unique(grades):
         chance = everywhere * (grades == k).mean()
-        far = np.maximum(far, np.abs(np.bincount(feature[grades[owner] == k], minlength=WIDTH) - chance) / np.sqrt(chance + 1))
+        here = np.bincount(index[np.repeat(grades == k, np.diff(at))], minlength=WIDTH)
+        far = np.maximum(far, np.abs(here - chance) / np.sqrt(chance + 1))
     out = np.where(far > LEAST_FAR, np.minimum(far, 20) / 4, 0)
     out[1 << BITS :] = np.maximum(out[1 << BITS :], 0.5)
     return out
@@ -99,8 +107,9 @@ def fit(index: np.ndarray, value: np.ndarray, at: np.ndarray, grades: np.ndarray
         return Model(np.zeros(WIDTH), np.full(top, -40.0))
     scale = relevance(index, at, grades)
     told = scale[index] > 0
-    owner = np.repeat(np.arange(len(grades)), np.diff(at))[told]
-    index, value, at = index[told], (value * scale[index])[told], np.searchsorted(owner, np.arange(len(grades) + 1))
+    at = np.concatenate([[0], np.cumsum(told, dtype=np.int64)])[at]
+    index = index[told]
+    value = value[told] * scale[index].astype(np.float32)
     rng = np.random.default_rng(seed)
     w, t = np.zeros(WIDTH), np.log(np.array([((grades < k).mean() + 1e-3) / ((grades >= k).mean() + 1e-3) for k in range(1, top + 1)]))
     gw, gt = np.full(WIDTH, 1e-2), np.full(top, 1e-2)
@@ -149,15 +158,16 @@ def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col:
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            i, v, at = features(b.column(1))
+            i, v, at = merged(*features(b.column(1)))
             offs = pa.array(at.astype(np.int32))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.ListArray.from_arrays(offs, pa.array(i)), pa.ListArray.from_arrays(offs, pa.array(v.astype(np.float32)))], ["doc_id", "grade", "i", "v"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.ListArray.from_arrays(offs, pa.array(i)), pa.ListArray.from_arrays(offs, pa.array(v))], ["doc_id", "grade", "i", "v"])
 
     got = rated.join(ids, "doc_id").select("doc_id", "text", "grade").mapInArrow(sparse, "doc_id long, grade int, i array<int>, v array<float>").toArrow()
-    got = got.combine_chunks().sort_by([("doc_id", "ascending"), ("grade", "ascending")])
-    i, v = got.column("i").combine_chunks(), got.column("v").combine_chunks()
-    at = np.concatenate([[0], np.cumsum(got.column("i").to_pandas().map(len))]).astype(np.int64) if len(got) else np.zeros(1, np.int64)
-    return fit(np.asarray(i.flatten()), np.asarray(v.flatten(), np.float64), at, np.asarray(got.column("grade")).astype(np.int64))
+    got = got.sort_by([("doc_id", "ascending"), ("grade", "ascending")]).combine_chunks()
+    at = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(got.column("i"))))]).astype(np.int64)
+    i, v, grades = np.asarray(pc.list_flatten(got.column("i"))), np.asarray(pc.list_flatten(got.column("v"))), np.asarray(got.column("grade")).astype(np.int64)
+    del got
+    return fit(i, v, at, grades)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", grade: int = KEEP_GRADE) -> DataFrame:
