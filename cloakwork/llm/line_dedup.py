@@ -1,7 +1,7 @@
 """Line dedup by site-relative frequency: drop the lines that most pages of a host share.
 
 For each host, the pages that contain a line are divided by the host's pages; a line beyond the
-boilerplate ratio goes, on a host of enough pages. All with DataFrame functions: a page counts once for a line
+boilerplate ratio goes, on a host of enough pages and if enough pages hold it. All with DataFrame functions: a page counts once for a line
 however often it repeats it, counts are aggregated before they are shuffled, and each occurrence
 meets its verdict in a join on the line's hash and host.
 
@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from .common import free_name, materialize
 
-RATIO, LEAST_PAGES = 0.5, 5
+#: Share of a host's pages beyond which a line is boilerplate, least pages of a host, least pages that hold the line.
+RATIO, LEAST_PAGES, LEAST_HITS = 0.1, 10, 3
 
 # Elements whose start or end breaks a line, and elements whose content is no text.
 BLOCKS = "address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul"
@@ -40,7 +41,7 @@ def html_lines(html: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(t, " {2,}", " "), " ?\n[ \n]*", "\n"), F.lit(" \n"))
 
 
-def drop_site_lines(pages: DataFrame, host: Column, text_col: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
+def drop_site_lines(pages: DataFrame, host: Column, text_col: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES, least_hits: int = LEAST_HITS) -> DataFrame:
     """pages with the text without its host's boilerplate lines, and n_lines, n_dropped."""
     names = ("__host", "__lines", "n_lines", "n_dropped", "__hashes", "__bad")
     h, lines, n_lines, n_dropped, hashes, bad = (free_name(pages, c) for c in names)
@@ -50,8 +51,8 @@ def drop_site_lines(pages: DataFrame, host: Column, text_col: str = "text", rati
     totals = slim.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= least_pages)
     held = slim.select("host", F.explode(F.array_distinct("hashes")).alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
     # A line must be on several pages to exceed the ratio: most lines are gone before the join.
-    held = held.where(F.col("n") > F.lit(ratio * least_pages)).join(totals, "host").where(F.col("n") > F.lit(ratio) * F.col("pages"))
-    # At most 1 / ratio lines of each place can exceed the ratio, so a host's list is as short as a page.
+    held = held.where((F.col("n") > F.lit(ratio * least_pages)) & (F.col("n") >= least_hits)).join(totals, "host").where(F.col("n") > F.lit(ratio) * F.col("pages"))
+    # A host's list is bounded by 1 / ratio times the average lines of its pages, however many pages it has.
     bads = materialize(held.groupBy("host").agg(F.collect_list("line").alias("bad")), "boilerplate").withColumnRenamed("host", "__bad_host").withColumnRenamed("bad", bad)
     out = split.join(bads, split[h] == F.col("__bad_host"), "left")
     goes = lambda x: F.coalesce(F.array_contains(F.col(bad), F.xxhash64(F.trim(x))), F.lit(False)) & (F.trim(x) != "")

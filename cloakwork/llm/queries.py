@@ -143,7 +143,7 @@ b AS (SELECT page_id, url, host, trim(regexp_replace(regexp_replace(t, ' {{2,}}'
 c AS (SELECT page_id, url, host, string_split(t, chr(10)) AS ls FROM b),
 n AS (SELECT host, count(*) AS pages FROM c GROUP BY host),
 f AS (SELECT host, l, count(*) AS n FROM (SELECT DISTINCT page_id, host, trim(l) AS l FROM (SELECT page_id, host, unnest(ls) AS l FROM c)) WHERE l <> '' GROUP BY ALL),
-bad AS (SELECT f.host, list(l) AS bad FROM f JOIN n ON n.host = f.host WHERE n.pages >= {line_dedup.LEAST_PAGES} AND f.n > {line_dedup.RATIO} * n.pages GROUP BY f.host),
+bad AS (SELECT f.host, list(l) AS bad FROM f JOIN n ON n.host = f.host WHERE n.pages >= {line_dedup.LEAST_PAGES} AND f.n > {line_dedup.RATIO} * n.pages AND f.n >= {line_dedup.LEAST_HITS} GROUP BY f.host),
 k AS (SELECT page_id, url, ls, list_filter(ls, lambda x: bad IS NULL OR NOT list_contains(bad, trim(x))) AS kept FROM c LEFT JOIN bad ON bad.host = c.host)
 SELECT page_id, url, array_to_string(kept, chr(10)) AS text, len(ls) AS n_lines, len(ls) - len(kept) AS n_dropped FROM k"""
 

@@ -306,7 +306,7 @@ def test_site_lines(spark):
     pages = [(i, f"https://User@Big.example:80/{i}", f"Top menu\nunique {i}\n\nFooter\nFooter" if i % 3 else f"unique {i}\nFooter") for i in range(12)]
     pages += [(100 + i, "http://small.example/", "same\nsame") for i in range(4)] + [(200, None, "x"), (201, "no url", None), (202, "http://big.example/", "")]
     df = spark.createDataFrame(pages, "page_id long, url string, text string").withColumn("n_lines", F.lit("clash"))
-    got = {r["page_id"]: r for r in line_dedup.drop_site_lines(df, line_dedup.host_of(F.col("url"))).collect()}
+    got = {r["page_id"]: r for r in line_dedup.drop_site_lines(df, line_dedup.host_of(F.col("url")), ratio=0.5, least_pages=5).collect()}
     assert got[1]["text"] == "unique 1\n" and got[1]["n_dropped"] == 3 and got[3]["text"] == "unique 3"
     assert got[100]["text"] == "same\nsame" and got[200]["text"] == "x" and got[201]["text"] is None and got[202]["text"] == "" and got[1]["n_lines"] == "clash"
     assert line_dedup.drop_site_lines(df.limit(0), F.col("url")).count() == 0
