@@ -346,7 +346,7 @@ def mapping_pk_aligned(spark, d):
 
 @_query(
     _with("""SELECT (SELECT count(*) FROM ck) AS rows_checked, 0 AS missing_mappings,
-(SELECT sum(abs(coalesce(e, 0) - coalesce(a, 0))) FROM (SELECT c_name AS x, count(*) AS e FROM masked WHERE c_name IS NOT NULL GROUP BY ALL) FULL JOIN
+(SELECT CAST(sum(abs(coalesce(e, 0) - coalesce(a, 0))) AS BIGINT) FROM (SELECT c_name AS x, count(*) AS e FROM masked WHERE c_name IS NOT NULL GROUP BY ALL) FULL JOIN
  (SELECT x, count(*) AS a FROM (SELECT CASE WHEN c_custkey % 31 = 0 THEN 'Wrong' ELSE c_name END AS x FROM masked WHERE c_custkey % 13 > 0) WHERE x IS NOT NULL GROUP BY ALL) USING (x)) AS mapping_mismatches,
 abs((SELECT count(*) FROM c WHERE c_name IS NULL) - (SELECT count(*) FROM masked WHERE c_name IS NULL AND c_custkey % 13 > 0 AND c_custkey % 31 > 0)) AS null_mismatches,
 0 AS unchanged_values, 0 AS invalid_source_values, 0 AS invalid_target_values, 0 AS primary_key_mismatches""")
@@ -357,7 +357,7 @@ def mapping_aggregate(spark, d):
 
 
 @_query("""WITH e AS (SELECT l_partkey AS value, count(*) AS e FROM lineitem GROUP BY ALL), a AS (SELECT l_partkey AS value, count(*) AS a FROM lineitem WHERE l_linenumber <> 3 GROUP BY ALL)
-SELECT sum(abs(coalesce(e, 0) - coalesce(a, 0))) AS difference FROM e FULL JOIN a USING (value)""")
+SELECT CAST(sum(abs(coalesce(e, 0) - coalesce(a, 0))) AS BIGINT) AS difference FROM e FULL JOIN a USING (value)""")
 def multiset_difference(spark, d):
     line = _t(spark, d, "lineitem")
     return V.multiset_difference(line.select(F.col("l_partkey").alias("value")), line.where("l_linenumber <> 3").select(F.col("l_partkey").alias("value")))
