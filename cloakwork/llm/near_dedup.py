@@ -242,6 +242,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     elected = materialize(placed.groupBy("root").agg(F.min(rep_of("first_id", "digest")).alias("rep")), "elected")
     tied = placed.join(elected, "root").select("digest", "rep")
     named = nodes.select("digest", rep_of("first_id", "digest").alias("own")).join(tied, "digest", "left").select("digest", F.coalesce("rep", "own").alias("rep"))
+    named = materialize(named, "named")  # so that both sides of the next join are shuffled for it, and Spark can split a digest with many copies
     out = signed.select("id", "digest").join(named, "digest", "left")
     rep = F.coalesce("rep", rep_of("id", "digest"))
     return out.select("id", "digest", rep["id"].alias("class_id"), rep["digest"].alias("class_digest"))
@@ -256,12 +257,12 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """docs with one row of each class: its representative. All columns stay as they are."""
     classes = near_duplicates(docs, id_col, text_col, **how)
     kept = classes.where(F.col("id").eqNullSafe(F.col("class_id")) & F.col("digest").eqNullSafe(F.col("class_digest")))
-    kept = materialize(kept.groupBy("id", "digest").agg(F.count(F.lit(1)).alias("n")), "kept")
+    kept = materialize(kept.select("id", "digest"), "kept")  # a few rows of each class, before they are grouped
     ident, digest = free_name(docs, "__id"), free_name(docs, "__digest")
     keys = kept.select(F.col("id").alias(ident), F.col("digest").alias(digest))
     tagged = docs.withColumn(digest, F.unhex(F.md5(F.col(text_col).cast("string"))))
     out = tagged.join(keys, F.col(id_col).eqNullSafe(keys[ident]) & tagged[digest].eqNullSafe(keys[digest]), "left_semi")
-    if kept.where("n > 1 and digest is not null").isEmpty():
+    if kept.where("digest is not null").groupBy("id", "digest").count().where("count > 1").isEmpty():
         return out.drop(digest)
     alone = out.where(F.col(digest).isNull())  # rows without a text are classes of their own, repeated or not
     return out.where(F.col(digest).isNotNull()).dropDuplicates([id_col, digest]).union(alone).drop(digest)
