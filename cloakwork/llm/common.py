@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -23,6 +24,8 @@ def shared_dir(spark: SparkSession) -> str:
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the cluster shares")
     app = spark.sparkContext.applicationId
     if app not in _local:
         _local[app] = tempfile.mkdtemp(prefix="cloakwork-")

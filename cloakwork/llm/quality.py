@@ -154,6 +154,7 @@ def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on at most `most` rated rows: those with the least hash of (id, grade)."""
     small_batches(docs.sparkSession)
     rated = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    # `most` rows of two numbers: small enough to broadcast whatever the corpus's size.
     ids = ratings.orderBy(F.xxhash64("doc_id", "grade"), "doc_id", "grade").limit(most)
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +163,7 @@ def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col:
             offs = pa.array(at.astype(np.int32))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.ListArray.from_arrays(offs, pa.array(i)), pa.ListArray.from_arrays(offs, pa.array(v))], ["doc_id", "grade", "i", "v"])
 
-    got = rated.join(ids, "doc_id").select("doc_id", "text", "grade").mapInArrow(sparse, "doc_id long, grade int, i array<int>, v array<float>").toArrow()
+    got = rated.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "grade").mapInArrow(sparse, "doc_id long, grade int, i array<int>, v array<float>").toArrow()
     got = got.sort_by([("doc_id", "ascending"), ("grade", "ascending")]).combine_chunks()
     at = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(got.column("i"))))]).astype(np.int64)
     i, v, grades = np.asarray(pc.list_flatten(got.column("i"))), np.asarray(pc.list_flatten(got.column("v"))), np.asarray(got.column("grade")).astype(np.int64)
