@@ -39,7 +39,7 @@ BOILER_NAMES = frozenset(
 )
 COMMENT_NAMES = frozenset("comment comments commentlist disqus discussion replies reply respond responses".split())
 HEADER_NAMES = frozenset("header heading hero".split())
-CONTENT_NAMES = frozenset("article articlebody entry post story".split())
+CONTENT_NAMES = frozenset("article articlebody content entry main maincontent post story".split())
 CLOSED_BY_SAME = frozenset("p li dt dd tr td th option".split())
 SCOPES = frozenset("article aside blockquote body div figure footer form header html main nav section table td th ul ol dl".split())
 
