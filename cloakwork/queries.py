@@ -14,7 +14,7 @@ from .operators import registry as R
 from .operators import verify as V
 from .operators.keys import arrow_digester, collection_stats, distinct_keys, keyed_values
 from .operators.transform import mask_table, missing_mappings
-from .plans.catalog import Catalog, ForeignKey, KeyConstraint, columns_frame, foreign_key_pairs, foreign_keys_frame, keys_frame
+from .plans.catalog import Catalog, ForeignKey, KeyConstraint, foreign_key_pairs, foreign_keys_frame, keys_frame
 from .plans.policy import ColumnRef, Generation, Group, Policy
 from .plans.stages import before_after
 
