@@ -1,11 +1,11 @@
 """Personal data in texts: patterns, and a character BiLSTM-CRF for what patterns miss.
 
-Base spans (e-mail, IP, card, phone) come from fixed rules. The model reads the whole text as
-far as it can hold such data: every stretch around a digit or an at sign, with context, cut into
-overlapping windows. Windows are decoded by the CRF; where windows overlap, each character takes
+Base spans (e-mail, IP, card, phone) come from fixed rules. For the model the whole text is cut
+into overlapping windows. Windows are decoded by the CRF; where windows overlap, each character takes
 the tag of the window in which it is farthest from an edge, so that the text has one reading. The
 model's spans are added if they don't touch a base span, are sure enough and hold what their kind
-needs. It is trained in numpy on labelled spans that a seeded grammar writes (`examples`), with dates,
+needs: a digit, an at sign or the word `at`. Windows that can't decide a character of such a span
+are not computed; the spans are those of a reading of all windows. It is trained in numpy on labelled spans that a seeded grammar writes (`examples`), with dates,
 versions, amounts and codes as negative examples; no corpus text goes into it.
 
 Defined cases: a null or empty text has no spans; equal rows have equal results; a long text is
@@ -27,7 +27,7 @@ from . import bilstm_crf
 from .common import free_name, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
-WINDOW, STRIDE, CONTEXT = 64, 32, 16
+WINDOW, STRIDE = 64, 32
 #: Least mean probability of a model span's characters.
 SURE = 0.9
 SEED = 11
@@ -37,7 +37,10 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_TRIGGER = re.compile("[0-9@]+")
+#: Every span of the model holds one of these.
+_TRIGGER = re.compile(r"[0-9@]|\bat\b")
+#: For Spark: matches every text that _TRIGGER matches.
+_MAY_HOLD = "[0-9@]|(?<![0-9A-Za-z_])at(?![0-9A-Za-z_])"
 
 
 def luhn(digits: str) -> bool:
@@ -179,44 +182,43 @@ def model(count: int = 2400, epochs: int = 8) -> bilstm_crf.Params:
     return bilstm_crf.train(*tagged(*examples(count)), CHARS, 1 + len(KINDS), epochs=epochs)
 
 
-def stretches(text: str) -> list[tuple[int, int]]:
-    """Where personal data can be: around digits and at signs, with context; stretches that meet are one."""
-    out: list[tuple[int, int]] = []
-    for m in _TRIGGER.finditer(text):
-        a, b = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], b)
-        else:
-            out.append((a, b))
+def last_window(n: int) -> int:
+    """Number of the last window of a text of n characters; window k begins at k * STRIDE."""
+    return (max(1, n - STRIDE) - 1) // STRIDE
+
+
+def decided(k: int, n: int) -> tuple[int, int]:
+    """The characters that are farthest from an edge in window k; the text's own ends are no edges."""
+    edge = (WINDOW - STRIDE) // 2
+    return (k * STRIDE + edge if k else 0), (n if k == last_window(n) else (k + 1) * STRIDE + edge)
+
+
+def readings(p: bilstm_crf.Params, texts: list[str], needed: list[set[int]]) -> list[dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """For each text, tags and probabilities of the characters that its needed windows decide, and those of the windows beside them as far as a span goes on."""
+    out: list[dict[int, tuple[np.ndarray, np.ndarray]]] = [{} for _ in texts]
+    todo = [(i, k) for i, ks in enumerate(needed) for k in sorted(ks)]
+    while todo:
+        beside = set()
+        for lo in range(0, len(todo), 512):
+            some = todo[lo : lo + 512]
+            block = np.ones((len(some), WINDOW), np.int64)
+            for row, (i, k) in enumerate(some):
+                part = encode(texts[i][k * STRIDE : k * STRIDE + WINDOW])
+                block[row, : len(part)] = part
+            em = bilstm_crf.emissions(p, block)
+            best, chance = bilstm_crf.viterbi(em, p.trans), bilstm_crf.marginals(em, p.trans)[1]
+            for row, (i, k) in enumerate(some):
+                a, b = (x - k * STRIDE for x in decided(k, len(texts[i])))
+                tags = best[row, a:b]
+                out[i][k] = tags, chance[row, np.arange(a, b), tags]
+                if tags[0] and k:
+                    beside.add((i, k - 1))
+                if tags[-1] and k < last_window(len(texts[i])):
+                    beside.add((i, k + 1))
+        todo = sorted((i, k) for i, k in beside if k not in out[i])
     return out
 
 
-def model_tags(p: bilstm_crf.Params, codes: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each stretch, each character's tag and its probability, reconciled over its windows."""
-    where = [(i, a) for i, c in enumerate(codes) for a in range(0, max(1, len(c) - WINDOW + STRIDE), STRIDE)]
-    tags = [np.zeros(len(c), np.int8) for c in codes]
-    sure, depth = [np.zeros(len(c), np.float32) for c in codes], [np.full(len(c), -1) for c in codes]
-    inner = np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1])
-    for lo in range(0, len(where), 512):
-        some = where[lo : lo + 512]
-        block = np.ones((len(some), WINDOW), np.int64)
-        for row, (i, a) in enumerate(some):
-            part = codes[i][a : a + WINDOW]
-            block[row, : len(part)] = part
-        em = bilstm_crf.emissions(p, block)
-        best, chance = bilstm_crf.viterbi(em, p.trans), bilstm_crf.marginals(em, p.trans)[1]
-        for row, (i, a) in enumerate(some):
-            n = min(WINDOW, len(codes[i]) - a)
-            far = inner[:n].copy()
-            if a == 0:
-                far[:STRIDE] = WINDOW  # the stretch's own ends are no cuts
-            better = far > depth[i][a : a + n]
-            at = a + np.flatnonzero(better)
-            tags[i][at], depth[i][at] = best[row, :n][better], far[better]
-            sure[i][at] = chance[row, np.arange(n), best[row, :n]][better]
-    return list(zip(tags, sure, strict=True))
-
-
 def plausible(kind: str, value: str) -> bool:
     """What a span of the model must hold, whatever its tags say."""
     digits = sum(c.isdigit() for c in value)
@@ -231,14 +233,22 @@ def plausible(kind: str, value: str) -> bool:
 
 def model_spans(p: bilstm_crf.Params, texts: list[str], base: list[list[tuple[str, int, int]]]) -> list[list[tuple[str, int, int]]]:
     """Spans that the model adds to each text."""
-    where = [(i, a, b) for i, t in enumerate(texts) for a, b in stretches(t)]
-    read = model_tags(p, [encode(texts[i][a:b]) for i, a, b in where])
+    marks = [np.array([m.start() for m in _TRIGGER.finditer(t)], np.int64) for t in texts]
+    edge = (WINDOW - STRIDE) // 2
+    read = readings(p, texts, [set(np.clip((at - edge) // STRIDE, 0, last_window(len(t))).tolist()) for t, at in zip(texts, marks, strict=True)])
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
     taken = []
     for found in base:  # sorted starts and the farthest end so far
         s = sorted((a, b) for _, a, b in found)
         taken.append((np.array([a for a, _ in s], np.int64), np.maximum.accumulate(np.array([b for _, b in s] or [0], np.int64))))
-    for (i, a, _), (tags, sure) in zip(where, read, strict=True):
+    pieces = []  # text, start, tags, probabilities of windows that follow each other
+    for i, got in enumerate(read):
+        ks = sorted(got)
+        first = [k for k in ks if k - 1 not in got]
+        for k, end in zip(first, [*first[1:], last_window(len(texts[i])) + 1], strict=False):
+            row = [got[j] for j in ks if k <= j < end]
+            pieces.append((i, decided(k, len(texts[i]))[0], np.concatenate([t for t, _ in row]), np.concatenate([c for _, c in row])))
+    for i, a, tags, sure in pieces:
         change = np.flatnonzero(np.diff(tags, prepend=-1))
         for x, y in zip(change.tolist(), [*change[1:].tolist(), len(tags)], strict=True):
             if not tags[x]:
@@ -247,6 +257,8 @@ def model_spans(p: bilstm_crf.Params, texts: list[str], base: list[list[tuple[st
             x, y = x + len(value) - len(value.lstrip(" .,;:\n\t")), y - (len(value) - len(value.rstrip(" .,;:\n\t\"'*#!")))
             if y <= x or float(sure[x:y].mean()) < SURE or not plausible(kind, texts[i][a + x : a + y]):
                 continue
+            if np.searchsorted(marks[i], a + x) == np.searchsorted(marks[i], a + y):
+                continue  # an `at` that is the end of a word
             starts, ends = taken[i]
             before = int(np.searchsorted(starts, a + y))
             if before == 0 or ends[before - 1] <= a + x:
@@ -274,6 +286,6 @@ def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
         return pd.DataFrame({"base": out_b, "every": out_e})
 
     text = F.col(text_col).cast("string")
-    # A text without digits and at signs can't hold data of these kinds; it needn't travel to Python.
-    out = docs.withColumn(spans, spot(F.when(text.rlike("[0-9@]"), text)))
+    # A text without digits, at signs and the word `at` can't hold data of these kinds; it needn't travel to Python.
+    out = docs.withColumn(spans, spot(F.when(text.rlike(_MAY_HOLD), text)))
     return out.withColumns({base: F.col(f"{spans}.base"), every: F.col(f"{spans}.every")}).drop(spans)

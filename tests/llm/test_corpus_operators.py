@@ -445,6 +445,19 @@ def test_find(spark):
     assert pii.find(empty(spark)).count() == 0
 
 
+def test_model_reads_whole_texts(spark, monkeypatch):
+    """Spans without digit and at sign are found, and no window that is left out would add any."""
+    texts = ["please write to john (at) example.com", "write to peter(at)firm.org please", "word " * 60 + "ask karlo[at]vendor.net or " + "word " * 60, "ask firstname.lastname @ department.example.org", "nothing here"]
+    told = ["john (at) example.com", "peter(at)firm.org", "karlo[at]vendor.net", "firstname.lastname @ department.example.org", None]
+    for r, text, value in zip(pii.find(frame(spark, texts)).orderBy("doc_id").collect(), texts, told):
+        assert any(value in text[s["start"] : s["end"]] for s in r["pii_spans"]) if value else not r["pii_spans"], text
+    texts += [" ".join(pii.examples(9, seed)[0]) for seed in range(30)] + [x * 40 for x in ("a", "1", "@", "1 ", "at.")]
+    base = [pii.base_spans(t) for t in texts]
+    some, read = pii.model_spans(pii.model(), texts, base), pii.readings
+    monkeypatch.setattr(pii, "readings", lambda p, texts, needed: read(p, texts, [set(range(pii.last_window(len(t)) + 1)) for t in texts]))
+    assert some == pii.model_spans(pii.model(), texts, base) and sum(map(len, some)) > 50
+
+
 # --- 9 ---
 
 
