@@ -2,13 +2,14 @@
 
 Texts become templates: case and punctuation go, and numbers, names (capitalised words that
 don't begin a sentence) and units (of a number) become typed placeholders that remember their
-value. Runs of five template words are hash-joined with those of the benchmark; a run needs
-three words that are no placeholders. Runs of one document and item on the same diagonal
+value. Runs of five template words are hash-joined with those of the benchmark: those with three
+words or more that are no placeholders by their templates, others by their values too. Runs of one document and item on the same diagonal
 (document place minus item place) must fill the item's slots consistently: each value of the
 item stands for one value of the document. Otherwise the diagonal doesn't count.
 
-A document leaks an item if it holds 0.8 of the item's different runs, or as many in a row of the
-item as a passage of `passage` words has.
+A document leaks an item if it holds 0.8 of the item's different runs, or 0.8 of those that are
+joined by their templates, or as many runs in a row of the item as a passage of `passage` words has.
+`matched` and `windows` count all runs.
 
 Defined cases: a null or empty text, or one of fewer than five words, leaks nothing and, as an
 item, can't be found; repeated rows of one id and text are one document; documents with a null
@@ -57,19 +58,23 @@ def windows(words: Column, k: int = WINDOW) -> Column:
     return F.regexp_extract_all(words, F.lit(f"(?:^|(?<= ))(?=([^ ]+(?: [^ ]+){{{k - 1}}}))"), 1)
 
 
-def window_key(window: Column) -> Column:
-    """Hash of a run without the values of its placeholders."""
-    bare = F.when(window.rlike(_MARKS), F.regexp_replace(window, f"({_MARKS})[^ ]*", "$1")).otherwise(window)
+def is_literal(window: Column, k: int = WINDOW) -> Column:
+    """Whether a run has enough words that are no placeholders to be joined by its template."""
+    return ~window.rlike(f"(?:{_MARKS}[^{_MARKS[1:-1]}]*){{{k - min(LITERALS, k) + 1}}}")
+
+
+def window_key(window: Column, k: int = WINDOW) -> Column:
+    """Hash of a run without the values of its placeholders; with them, if there are few other words."""
+    bare = F.when(window.rlike(_MARKS) & is_literal(window, k), F.regexp_replace(window, f"({_MARKS})[^ ]*", "$1")).otherwise(window)
     return F.xxhash64(bare)
 
 
 def benchmark_windows(items: DataFrame, item_col: str = "item_id", text_col: str = "text", k: int = WINDOW) -> DataFrame:
-    """(key, item_id, q, item_window, windows) of runs with enough literal words; q numbers equal runs of an item alike."""
+    """(key, item_id, q, item_window, literal, windows, literal_windows) of all runs; q is a run's place in its item."""
     w = items.select(F.col(item_col).alias("item_id"), F.posexplode(windows(template(F.col(text_col).cast("string")), k)).alias("at", "item_window"))
-    w = w.where(F.size(F.filter(F.split("item_window", " "), lambda x: ~x.rlike(f"^{_MARKS}"))) >= min(LITERALS, k))
-    w = w.withColumn("key", window_key(F.col("item_window")))
-    total = w.groupBy(F.col("item_id").alias("of_item")).agg(F.count_distinct("key").alias("windows"))
-    return w.join(total, F.col("item_id").eqNullSafe(F.col("of_item"))).select("key", "item_id", F.col("at").alias("q"), "item_window", "windows")
+    w = w.withColumns({"key": window_key(F.col("item_window"), k), "literal": is_literal(F.col("item_window"), k)})
+    total = w.groupBy(F.col("item_id").alias("of_item")).agg(F.count_distinct("key").alias("windows"), F.count_distinct(F.when(F.col("literal"), F.col("key"))).alias("literal_windows"))
+    return w.join(total, F.col("item_id").eqNullSafe(F.col("of_item"))).select("key", "item_id", F.col("at").alias("q"), "item_window", "literal", "windows", "literal_windows")
 
 
 def _slots(window: str) -> Column:
@@ -82,15 +87,15 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     bench = F.broadcast(bench) if bench.count() <= BROADCAST_ROWS else bench
     text = F.col(text_col).cast("string")
     slim = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), template(text).alias("words"))
-    run = slim.select("doc_id", "text_hash", F.posexplode(windows(F.col("words"), k)).alias("p", "window")).withColumn("key", window_key(F.col("window")))
-    hits = run.join(bench, "key").select("doc_id", "text_hash", "item_id", "key", "q", (F.col("p") - F.col("q")).alias("diagonal"), "windows", "window", "item_window")
+    run = slim.select("doc_id", "text_hash", F.posexplode(windows(F.col("words"), k)).alias("p", "window")).withColumn("key", window_key(F.col("window"), k))
+    hits = run.join(bench, "key").select("doc_id", "text_hash", "item_id", "key", "q", (F.col("p") - F.col("q")).alias("diagonal"), "literal", "windows", "literal_windows", "window", "item_window")
 
     # Values of an item's slots and what stands for them: more values of the document than of the item means inconsistent.
     pair = F.arrays_zip(_slots("item_window").alias("x"), _slots("window").alias("y"))
-    hits = hits.select("doc_id", "text_hash", "item_id", "key", "q", "diagonal", "windows", F.when(F.col("window").rlike(_MARKS), pair).alias("pairs"))
-    per_key = hits.groupBy("doc_id", "text_hash", "item_id", "diagonal", "windows").agg(F.collect_set(F.struct("q", "key")).alias("held"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    hits = hits.select("doc_id", "text_hash", "item_id", "key", "q", "diagonal", "literal", "windows", "literal_windows", F.when(F.col("literal") & F.col("window").rlike(_MARKS), pair).alias("pairs"))
+    per_key = hits.groupBy("doc_id", "text_hash", "item_id", "diagonal", "windows", "literal_windows").agg(F.collect_set(F.struct("q", "key", "literal")).alias("held"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     consistent = F.size(F.array_distinct(F.transform("pairs", lambda v: v["x"]))) == F.size("pairs")
-    held = per_key.where(consistent).select("doc_id", "text_hash", "item_id", "windows", "held")
+    held = per_key.where(consistent).select("doc_id", "text_hash", "item_id", "windows", "literal_windows", "held")
     # How many runs of the item follow each other without a gap, at most.
     places = F.array_sort(F.transform("held", lambda v: v["q"]))
     step = F.aggregate(
@@ -104,8 +109,12 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         lambda a: a["best"],
     )
     held = held.withColumn("longest", step)
-    found = held.groupBy("doc_id", "text_hash", "item_id", "windows").agg(F.max("longest").cast("long").alias("longest"), F.size(F.array_distinct(F.flatten(F.collect_list(F.transform("held", lambda v: v["key"]))))).cast("long").alias("matched"))
-    leak = (F.col("matched") >= F.lit(containment) * F.col("windows")) | (F.col("longest") >= passage - k + 1)
+    keys = F.array_distinct(F.flatten(F.collect_list(F.transform("held", lambda v: F.struct(v["key"], v["literal"])))))
+    found = held.groupBy("doc_id", "text_hash", "item_id", "windows", "literal_windows").agg(F.max("longest").cast("long").alias("longest"), keys.alias("keys"))
+    literal = F.size(F.filter("keys", lambda v: v["literal"]))
+    found = found.withColumns({"matched": F.size("keys").cast("long"), "literal": literal})
+    reached = (F.col("matched") >= F.lit(containment) * F.col("windows")) | ((F.col("literal") > 0) & (F.col("literal") >= F.lit(containment) * F.col("literal_windows")))
+    leak = reached | (F.col("longest") >= passage - k + 1)
     return found.where(leak).select("doc_id", "text_hash", "item_id", "matched", "windows", "longest")
 
 

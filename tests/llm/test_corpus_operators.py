@@ -529,6 +529,18 @@ def test_reparameterised_questions_need_consistent_slots(spark):
     assert set(got) == {0} and got[0]["matched"] == got[0]["windows"]
 
 
+def test_runs_of_few_literal_words_count_by_value(spark):
+    """Verbatim copies of items in which numbers, units or names are dense, alone and within a passage; other values are no copies."""
+    dense = ["What is 48 + 27 - 13 * 2?", "Solve 3x + 7 = 22 and 5x - 2 = 18.", "Convert 5 km 300 m to cm.", "A car drives 120 km in 3 hours and 90 km in 2 hours. What is its mean speed?"]
+    long = "we see how the old mill by the river turns 14 7 21 35 times on each day of the spring and then it stops for good until rain falls"
+    items = spark.createDataFrame([*enumerate(dense), (9, long)], "item_id long, text string")
+    passage = "so how the old mill by the river turns 14 7 21 35 times on each day then"
+    texts = [*("Well, said the man: " + t + " Nobody knew." for t in dense), passage, "What is 4 + 2 - 1 * 7?", "Convert 6 km 200 m to cm.", "A car drives 130 km in 4 hours and 80 km in 5 hours. What is its mean speed?"]
+    got = {(r["doc_id"], r["item_id"]): r for r in decontamination.leaks(frame(spark, texts), items).collect()}
+    assert set(got) == {(0, 0), (1, 1), (2, 2), (3, 3), (4, 9), (7, 3)} and got[4, 9]["longest"] >= 9
+    assert all(got[i, i]["matched"] == got[i, i]["windows"] for i in range(4))
+
+
 def test_template_form(spark):
     row = spark.range(1).select(decontamination.template(F.lit("He walked 3.5 km with Anna-Lisa, then 1,200 m. End2 x")).alias("t")).first()["t"]
     assert row == "he walked \u00023\u00045 \u0005km with \u0003anna lisa then \u00021\u0004200 \u0005m end \u00022 x"
