@@ -4,8 +4,10 @@ Texts become templates: case and punctuation go, and numbers, names (capitalised
 don't begin a sentence) and units (of a number) become typed placeholders that remember their
 value. Runs of five template words are hash-joined with those of the benchmark: those with three
 words or more that are no placeholders by their templates, others by their values too. Runs of one document and item on the same diagonal
-(document place minus item place) must fill the item's slots consistently: each value of the
-item stands for one value of the document. Otherwise the diagonal doesn't count.
+(document place minus item place) should fill the item's slots consistently: each value of the
+item stands for one value of the document. Where they don't, the runs count that fill their slots
+with the value more than half of the diagonal's runs have there (the item's own if there is none),
+and those with the item's own values.
 
 A document leaks an item if it holds 0.8 of the item's different runs, or 0.8 of those that are
 joined by their templates, or as many runs in a row of the item as a passage of `passage` words has.
@@ -81,6 +83,14 @@ def _slots(window: str) -> Column:
     return F.regexp_extract_all(F.col(window), F.lit(f"{_MARKS}[^ ]*"), 0)
 
 
+def _usual(runs: Column, pairs: Column) -> Column:
+    """For each value of the item, what more than half of its runs hold for it; else the item's own value."""
+    holds = lambda v: F.size(F.filter(runs, lambda r: F.array_contains(r["pairs"], v)))
+    every = lambda v: F.size(F.filter(runs, lambda r: F.exists(r["pairs"], lambda w: w["x"] == v["x"])))
+    most = F.filter(pairs, lambda v: 2 * holds(v) > every(v))
+    return F.concat(most, F.filter(pairs, lambda v: (v["x"] == v["y"]) & ~F.exists(most, lambda w: w["x"] == v["x"])))
+
+
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", k: int = WINDOW, containment: float = CONTAINMENT, passage: int = PASSAGE) -> DataFrame:
     """(doc_id, text_hash, item_id, matched, windows, longest) of every document that leaks an item."""
     bench = materialize(benchmark_windows(items, item_col, item_text_col, k), "bench")
@@ -90,12 +100,16 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     run = slim.select("doc_id", "text_hash", F.posexplode(windows(F.col("words"), k)).alias("p", "window")).withColumn("key", window_key(F.col("window"), k))
     hits = run.join(bench, "key").select("doc_id", "text_hash", "item_id", "key", "q", (F.col("p") - F.col("q")).alias("diagonal"), "literal", "windows", "literal_windows", "window", "item_window")
 
-    # Values of an item's slots and what stands for them: more values of the document than of the item means inconsistent.
-    pair = F.arrays_zip(_slots("item_window").alias("x"), _slots("window").alias("y"))
-    hits = hits.select("doc_id", "text_hash", "item_id", "key", "q", "diagonal", "literal", "windows", "literal_windows", F.when(F.col("literal") & F.col("window").rlike(_MARKS), pair).alias("pairs"))
-    per_key = hits.groupBy("doc_id", "text_hash", "item_id", "diagonal", "windows", "literal_windows").agg(F.collect_set(F.struct("q", "key", "literal")).alias("held"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    consistent = F.size(F.array_distinct(F.transform("pairs", lambda v: v["x"]))) == F.size("pairs")
-    held = per_key.where(consistent).select("doc_id", "text_hash", "item_id", "windows", "literal_windows", "held")
+    # Values of an item's slots and what stands for them. Runs joined by their values have no slots.
+    pair = F.array_distinct(F.arrays_zip(_slots("item_window").alias("x"), _slots("window").alias("y")))
+    hits = hits.withColumn("pairs", F.when(F.col("literal") & F.col("window").rlike(_MARKS), pair).otherwise(F.array().cast("array<struct<x:string,y:string>>")))
+    held = hits.groupBy("doc_id", "text_hash", "item_id", "diagonal", "windows", "literal_windows").agg(F.collect_set(F.struct("q", "key", "literal", "pairs")).alias("runs"))
+    held = held.withColumn("pairs", F.array_distinct(F.flatten("runs.pairs")))
+    # More values of the document than of the item means inconsistent.
+    consistent = F.size(F.array_distinct("pairs.x")) == F.size("pairs")
+    held = held.withColumn("usual", F.when(consistent, F.col("pairs")).otherwise(_usual(F.col("runs"), F.col("pairs"))))
+    fits = lambda r: F.forall(r["pairs"], lambda v: F.array_contains("usual", v)) | F.forall(r["pairs"], lambda v: v["x"] == v["y"])
+    held = held.withColumn("held", F.when(consistent, F.col("runs")).otherwise(F.filter("runs", fits)))
     # How many runs of the item follow each other without a gap, at most.
     places = F.array_sort(F.transform("held", lambda v: v["q"]))
     step = F.aggregate(

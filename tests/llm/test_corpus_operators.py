@@ -541,6 +541,20 @@ def test_runs_of_few_literal_words_count_by_value(spark):
     assert all(got[i, i]["matched"] == got[i, i]["windows"] for i in range(4))
 
 
+def test_one_changed_slot_leaves_the_other_runs(spark):
+    """A copy with one of two equal values changed is found, and so is one that gives most of its slots one value."""
+    item = "every morning the baker takes 12 loaves out of the big stone oven and puts them on the long table by the door, then sells 12 loaves to the people who wait"
+    named = "so today Anna has seven red apples and later Anna gives some of the apples back to the kind old man, but in the evening Anna eats two while her brother Anna sleeps on the couch and Anna reads"
+    items = spark.createDataFrame([(1, item), (2, named)], "item_id long, text string")
+    texts = [item.replace("sells 12", "sells 13"), item.replace("takes 12", "takes 13"), item.replace("12", "40"), "so today Clara has seven red apples and later Clara gives some of the apples back to the kind old man, but in the evening Denis eats two while her brother Denis sleeps on the couch and Denis reads", "takes 12 loaves out of the big then sells 13 loaves"]
+    got = {(r["doc_id"], r["item_id"]): r for r in decontamination.leaks(frame(spark, texts), items).collect()}
+    assert set(got) == {(0, 1), (1, 1), (2, 1), (3, 2)}
+    whole = got[2, 1]
+    assert whole["matched"] == whole["windows"] == whole["longest"]
+    # Runs of the changed value: five of the item's; the rest follow each other on one side.
+    assert got[0, 1]["matched"] == whole["windows"] - 5 and got[0, 1]["longest"] == 25 - 4 and got[3, 2]["longest"] == 39 - 4 - 10
+
+
 def test_template_form(spark):
     row = spark.range(1).select(decontamination.template(F.lit("He walked 3.5 km with Anna-Lisa, then 1,200 m. End2 x")).alias("t")).first()["t"]
     assert row == "he walked \u00023\u00045 \u0005km with \u0003anna lisa then \u00021\u0004200 \u0005m end \u00022 x"
