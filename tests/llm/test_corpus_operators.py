@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -299,6 +300,20 @@ def test_secrets_as_brute_force(spark):
     assert secrets.scan(empty(spark)).count() == 0
 
 
+def test_secrets_in_long_texts(spark):
+    """Time follows the length: one candidate of 100,000 characters, and 30,000 matches in one text."""
+    rng = random.Random(11)
+    one = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(100_000))
+    flat = "ab1" * 33_000
+    many = "token=abcdef1 k9fT3xQ7LmZp2Rb8VwYc5Nd1 " * 15_000
+    began = time.monotonic()
+    got = secrets.scan(frame(spark, [one, flat, many, None])).orderBy("doc_id").collect()
+    assert time.monotonic() - began < 30
+    assert [tuple(s)[:4] for s in got[0]["secret_spans"]] == [(0, 3, len(one), "entropy")] and not got[1]["secret_spans"] and not got[3]["secret_spans"]
+    assert len(got[2]["base_spans"]) == 15_000 and [(s["start"], s["rank"], s["end"], s["kind"]) for s in got[2]["secret_spans"][:40]] == brute_secrets(many)[:40]
+    assert len(got[2]["secret_spans"]) == 30_000 and got[2]["secret_spans"][-1]["end"] == len(many) - 1
+
+
 # --- 6 ---
 
 
