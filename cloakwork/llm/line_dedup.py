@@ -43,8 +43,8 @@ def html_lines(html: Column) -> Column:
 
 def drop_site_lines(pages: DataFrame, host: Column, text_col: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES, least_hits: int = LEAST_HITS) -> DataFrame:
     """pages with the text without its host's boilerplate lines, and n_lines, n_dropped."""
-    names = ("__host", "__lines", "n_lines", "n_dropped", "__hashes", "__bad")
-    h, lines, n_lines, n_dropped, hashes, bad = (free_name(pages, c) for c in names)
+    names = ("__host", "__lines", "n_lines", "n_dropped", "__hashes", "__bad", "__bad_host")
+    h, lines, n_lines, n_dropped, hashes, bad, of_host = (free_name(pages, c) for c in names)
     split = pages.withColumns({h: F.coalesce(host, F.lit("\u0000")), lines: F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n", -1)})
     split = split.withColumn(hashes, F.transform(F.filter(F.transform(lines, lambda x: F.trim(x)), lambda x: x != ""), lambda x: F.xxhash64(x)))
     slim = split.select(F.col(h).alias("host"), F.col(hashes).alias("hashes"))
@@ -53,8 +53,8 @@ def drop_site_lines(pages: DataFrame, host: Column, text_col: str = "text", rati
     # A line must be on several pages to exceed the ratio: most lines are gone before the join.
     held = held.where((F.col("n") > F.lit(ratio * least_pages)) & (F.col("n") >= least_hits)).join(totals, "host").where(F.col("n") > F.lit(ratio) * F.col("pages"))
     # A host's list is bounded by 1 / ratio times the average lines of its pages, however many pages it has.
-    bads = materialize(held.groupBy("host").agg(F.collect_list("line").alias("bad")), "boilerplate").withColumnRenamed("host", "__bad_host").withColumnRenamed("bad", bad)
-    out = split.join(bads, split[h] == F.col("__bad_host"), "left")
+    bads = materialize(held.groupBy("host").agg(F.collect_list("line").alias("bad")), "boilerplate").withColumnRenamed("host", of_host).withColumnRenamed("bad", bad)
+    out = split.join(bads, split[h] == F.col(of_host), "left")
     goes = lambda x: F.coalesce(F.array_contains(F.col(bad), F.xxhash64(F.trim(x))), F.lit(False)) & (F.trim(x) != "")
     kept = F.when(F.col(bad).isNull(), F.col(lines)).otherwise(F.filter(lines, lambda x: ~goes(x)))
     text = F.when(F.col(text_col).isNull(), None).otherwise(F.array_join(kept, "\n"))

@@ -1,14 +1,14 @@
 """Mixing sources to target weights by entropy balancing.
 
 A document's size is its number of words (runs of other characters than ASCII white space).
-Each source has a target in words. Among all document rates r with the source's target as their
-weighted sum, entropy balancing takes the one closest to rate 1: the rates that minimise the
-(bounded) relative entropy are r = MOST * s(l * size + ln(1 / (MOST - 1))), an exponential
-tilt of the rates 1 with the odds r / (MOST - r), whose multiplier l solves the source's convex dual.
-Documents of one source and size have the same rate, so the corpus is first aggregated to
-(source, size, count); the sources' duals are then solved in parallel by Newton iterations on
-these cells. Rates become whole copies cell by cell, the largest size first, each cell making up
-for the rounding of those before; within a cell a seeded hash chooses who gets the extra copy.
+Each source has a target in words. Among all document rates r between 0 and MOST with the source's target as their
+weighted sum, entropy balancing takes the one of least relative entropy to rate 1: r = min(MOST, exp(l * x)), an
+exponential tilt in x, the size by the source's mean size, clipped where the bound holds. The multiplier l solves the
+source's convex dual, whose gradient is the target minus the words taken. All sources take a Newton step at once: one
+distributed aggregation of the words taken and of the curvature (on the logarithm, which a tilt makes nearly straight),
+until every gradient vanishes. Documents of one source and size have the same rate, so these sums run over
+(source, size, count) cells, not over documents. Rates become whole copies cell by cell, the largest size first, each
+cell making up for the rounding of those before; within a cell a seeded hash chooses who gets the extra copy.
 
 Defined cases: a null text has size 0; a null source is a source of its own, last in order;
 documents of size 0 are taken once; sources without words have target 0; a table without words
@@ -61,29 +61,73 @@ def water_fill(sources: DataFrame, most: int = MOST) -> DataFrame:
     return s.withColumn("target", F.when(F.col("level").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("level") * F.col("weight")))).select("source", "source_size", "weight", "target")
 
 
-def tilt(size: np.ndarray, count: np.ndarray, target: float, most: int = MOST) -> tuple[np.ndarray, int]:
-    """Rates of cells (size, count) whose words sum to target, and the Newton iterations it took.
+#: Newton iterations at most, and the gradient (in parts of the source's words) that ends them.
+MOST_STEPS, EXACT = 60, 1e-9
 
-    Maximises the concave dual g(l) = l * target - sum count * most * ln(1 + exp(l * x + c)) / ...,
-    whose gradient is target minus the words taken; a step that leaves the bracket is halved.
-    """
+
+def next_multiplier(at, low, high, words, curve, target, lib):
+    """The Newton step on ln(words) from `at`, or the middle of the bracket (low, high) if it would leave it. lib: numpy or columns."""
+    step = at + words * lib.log(target / words) / lib.greatest(curve, 1e-300)
+    return lib.where((step > low) & (step < high), step, (low + high) / 2)
+
+
+class _Columns:
+    """What next_multiplier() needs, as column functions."""
+
+    log, greatest, where = staticmethod(F.log), staticmethod(lambda x, least: F.greatest(x, F.lit(least))), staticmethod(lambda test, x, y: F.when(test, x).otherwise(y))
+
+
+class _Arrays:
+    log, greatest, where = staticmethod(np.log), staticmethod(np.maximum), staticmethod(np.where)
+
+
+def tilt(size: np.ndarray, count: np.ndarray, target: float, most: int = MOST) -> tuple[np.ndarray, int]:
+    """Rates of one source's cells (size, count) whose words sum to target, and the Newton iterations it took: what `multipliers` does, on one machine."""
     whole = float((size * count).sum())
     if not whole or target <= 0:
         return np.where(size > 0, 0.0, 1.0), 0
-    if target >= most * whole * (1 - 1e-12):
+    if target >= most * whole * (1 - EXACT):
         return np.where(size > 0, float(most), 1.0), 0
-    x, start = size / (whole / count[size > 0].sum()), -math.log(most - 1)
-    low, high, at = -1e6, 1e6, 0.0
-    for step in range(1, 200):
-        rate = most / (1 + np.exp(-np.clip(at * x + start, -700, 700)))
-        gap = target - float((rate * size * count).sum())
-        if abs(gap) <= 1e-9 * whole:
+    x = size / (whole / count[size > 0].sum())
+    least = x[size > 0].min()
+    at, low, high = 0.0, min(0.0, math.log(target / whole) / least), math.log(most) / least * (target > whole)
+    for step in range(1, MOST_STEPS):
+        rate = np.minimum(most, np.exp(at * x))
+        words = float((rate * size * count).sum())
+        if abs(target - words) <= EXACT * whole:
+            break
+        curve = float(((rate < most) * rate * x * size * count).sum())
+        low, high = (at, high) if words < target else (low, at)
+        at = float(next_multiplier(at, low, high, words, curve, target, _Arrays))
+    return np.where(size > 0, rate, 1.0), step
+
+
+def multipliers(cells: DataFrame, goals: DataFrame, most: int = MOST) -> DataFrame:
+    """goals (source, source_size, target) with mean_size and the multiplier `at` of each source that has an inner solution (else null).
+
+    cells: (source, size, n). Each iteration is one aggregation of the cells by source, written to the shared folder.
+    """
+    told = cells.where("size > 0").groupBy(F.col("source").alias("of")).agg((F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("mean_size"), F.min("size").alias("least"))
+    s = goals.join(told, goals["source"].eqNullSafe(told["of"]), "left").drop("of")
+    whole, least = F.col("source_size").cast("double"), F.col("least") / F.col("mean_size")
+    inner = (F.col("target") > 0) & (F.col("target") < F.lit(most * (1 - EXACT)) * whole)
+    s = s.withColumns({"at": F.when(inner, F.lit(0.0)), "low": F.least(F.lit(0.0), F.log(F.col("target") / whole) / least), "high": F.when(F.col("target") > whole, math.log(most) / least).otherwise(0.0), "done": ~inner})
+    s = materialize(s.select("source", "source_size", "target", "mean_size", "at", "low", "high", "done"), "multipliers")
+    for _ in range(MOST_STEPS):
+        todo = s.where(~F.col("done"))
+        if todo.isEmpty():
             break
-        low, high = (at, high) if gap > 0 else (low, at)
-        curve = float((rate * (1 - rate / most) * x * size * count).sum())
-        new = at + gap / curve if curve > 0 else math.inf
-        at = new if low < new < high else (2 * at + math.copysign(1, gap) if abs(low) == 1e6 or abs(high) == 1e6 else (low + high) / 2)
-    return rate, step
+        x = F.col("size") / F.col("mean_size")
+        rate, mass = F.least(F.lit(float(most)), F.exp(F.col("at") * x)), F.col("size") * F.col("n")
+        met = cells.withColumnRenamed("source", "of").join(todo, F.col("of").eqNullSafe(todo["source"]))
+        sums = met.groupBy("of").agg(F.sum(rate * mass).alias("words"), F.sum(F.when(rate < most, rate * x * mass).otherwise(0.0)).alias("curve"))
+        got = s.join(sums, s["source"].eqNullSafe(sums["of"]), "left").drop("of")
+        open_ = ~F.col("done") & (F.abs(F.col("target") - F.col("words")) > EXACT * F.col("source_size"))
+        got = got.withColumns({"low": F.when(F.col("words") < F.col("target"), F.col("at")).otherwise(F.col("low")), "high": F.when(F.col("words") >= F.col("target"), F.col("at")).otherwise(F.col("high"))})
+        new = next_multiplier(F.col("at"), F.col("low"), F.col("high"), F.col("words"), F.col("curve"), F.col("target"), _Columns)
+        got = got.withColumns({"at": F.when(open_, new).otherwise(F.col("at")), "done": ~F.coalesce(open_, F.lit(False))})
+        s = materialize(got.select(*s.columns), "multipliers")
+    return s.select("source", "source_size", "target", "mean_size", "at")
 
 
 def whole_copies(size: np.ndarray, count: np.ndarray, rate: np.ndarray, most: int = MOST) -> np.ndarray:
@@ -101,25 +145,27 @@ def mix_sources(docs: DataFrame, weigh=cycle_weights, source_col: str = "source"
 
     weigh adds the column weight to (source, source_size).
     """
-    names = ("size", "source_size", "target", "copies", "__row", "__block", "__key", "__cell_n", "__cell_copies")
-    size, source_size, target, copies, row, block, key, n, total = (free_name(docs, c) for c in names)
+    names = ("size", "source_size", "target", "copies", "__row", "__block", "__key", "__cell_size", "__cell_n", "__cell_copies")
+    size, source_size, target, copies, row, block, key, cell_size, n, total = (free_name(docs, c) for c in names)
     sized = docs.withColumns({size: size_of(text_col), row: F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith("map")])})
     cells = materialize(sized.groupBy(F.col(source_col).alias("source"), F.col(size).alias("size")).agg(F.count(F.lit(1)).alias("n")), "cells")
     sources = cells.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     goals = materialize(water_fill(weigh(sources), most), "goals")
 
     def balance(cell: pa.Table) -> pa.Table:
+        """Whole copies of one source's cells (its different sizes, however many documents it has)."""
         cell = cell.sort_by([("size", "descending")])
-        z, c = np.asarray(cell.column("size")), np.asarray(cell.column("n"))
-        rate, _ = tilt(z, c, cell.column("target")[0].as_py(), most)
+        z, c, rate = (np.asarray(cell.column(x)) for x in ("size", "n", "rate"))
         return cell.append_column("cell_copies", pa.array(whole_copies(z, c, rate, most))).select(["source", "size", "n", "source_size", "target", "cell_copies"])
 
-    tied = cells.join(goals, cells["source"].eqNullSafe(goals["source"])).select(cells["source"], "size", "n", "source_size", "target")
+    goals = multipliers(cells, goals, most)
+    rate = F.when(F.col("size") == 0, 1.0).when(F.col("target") <= 0, 0.0).when(F.col("at").isNull(), float(most)).otherwise(F.least(F.lit(float(most)), F.exp(F.col("at") * F.col("size") / F.col("mean_size"))))
+    tied = cells.join(goals, cells["source"].eqNullSafe(goals["source"])).select(cells["source"], "size", "n", "source_size", "target", rate.alias("rate"))
     kind = cells.schema["source"].dataType.simpleString()
     solved = tied.groupBy("source").applyInArrow(balance, f"source {kind}, size long, n long, source_size long, target double, cell_copies long")
-    solved = materialize(solved, "solved").select(F.col("source").alias(key), F.col("size").alias("__cell_size"), F.col("n").alias(n), F.col("source_size").alias(source_size), F.col("target").alias(target), F.col("cell_copies").alias(total))
+    solved = materialize(solved, "solved").select(F.col("source").alias(key), F.col("size").alias(cell_size), F.col("n").alias(n), F.col("source_size").alias(source_size), F.col("target").alias(target), F.col("cell_copies").alias(total))
 
-    joined = sized.join(solved, sized[source_col].eqNullSafe(solved[key]) & (sized[size] == solved["__cell_size"]))
+    joined = sized.join(solved, sized[source_col].eqNullSafe(solved[key]) & (sized[size] == solved[cell_size]))
     joined = joined.withColumn(block, F.pmod(F.col(row), F.ceil(F.col(n) / CELL_ROWS)))
     # A block of a split cell gets its share of the extra copies, rounded with a seeded hash as the chance.
     cell = Window.partitionBy(key, size, block)

@@ -7,12 +7,13 @@ vector w is shared by all grades; ordered thresholds t_1 < ... < t_{K-1} give
 P(grade >= k) = 1 / (1 + exp(t_k - w x)), hence the expected grade and the tail probability
 that selects. Ratings of the table `labels`: 0 for quality 0, 1 for toxic texts, 2 for the rest.
 
-The model is fitted on the driver on at most `most` labelled rows (LABELLED, those with the
-least hash of their id), so fitting costs the same at every corpus size; scoring covers every
-row. Defined cases: a null text is an empty one; an empty text has no features and gets what the
-thresholds alone say; labels without a rating or a document are ignored; several labels of one
-id all count; without two different ratings nothing can be learned and every text gets the
-highest rating seen (0 if none). Extra columns stay.
+The model is fitted on the driver on a bounded sample: at most `most` (LABELLED) ratings of documents that there are, those with
+the least hash of id and grade, and of these as many, in this order, as have `entries` (ENTRIES) features together. So fitting costs the
+same at every corpus size; scoring covers every row. Defined cases: a null text is an empty one; an empty text has no features and
+gets what the thresholds alone say; labels without a rating or a document are ignored; several labels of one
+id all count; of several documents of one id the one whose text has the least hash is learned from. Without two different
+ratings nothing can be learned and every text gets the highest rating seen (0 if none). Without a rating of the
+wanted grade its probability is unknown: it is null, and `select` keeps every row. Extra columns stay.
 """
 
 from __future__ import annotations
@@ -25,11 +26,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import buffers, free_name, mix, small_batches, words
+from .common import buffers, free_name, materialize, mix, small_batches, words
 
 #: Bound of the labelled sample that the model is fitted on.
 LABELLED = 6000
+#: Bound of the sample's features, all texts together: 8 bytes each on the driver.
+ENTRIES = 16_000_000
 BITS = 16
 WIDTH = (1 << BITS) + 129
 #: Leading bytes of a word that count as a feature of their own, so that inflected forms share weight.
@@ -150,20 +154,26 @@ def graded(labels: DataFrame) -> DataFrame:
     return labels.where("doc_id is not null and quality is not null").select("doc_id", grade.alias("grade"))
 
 
-def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = LABELLED) -> Model:
-    """Fit on at most `most` rated rows: those with the least hash of (id, grade)."""
+def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = LABELLED, entries: int = ENTRIES) -> Model:
+    """Fit on at most `most` ratings (doc_id, grade) of documents that there are, with at most `entries` features together."""
     small_batches(docs.sparkSession)
     rated = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    # `most` rows of two numbers: small enough to broadcast whatever the corpus's size.
-    ids = ratings.orderBy(F.xxhash64("doc_id", "grade"), "doc_id", "grade").limit(most)
+    told = ratings.select("doc_id", F.col("grade").cast("int").alias("grade")).where("grade is not null").join(rated.select("doc_id"), "doc_id", "left_semi")
+    # `most` rows of three numbers: small enough to broadcast whatever the corpus's size.
+    ids = materialize(told.withColumn("order", F.xxhash64("doc_id", "grade")).orderBy("order", "doc_id", "grade").limit(most), "labelled")
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             i, v, at = merged(*features(b.column(1)))
             offs = pa.array(at.astype(np.int32))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.ListArray.from_arrays(offs, pa.array(i)), pa.ListArray.from_arrays(offs, pa.array(v))], ["doc_id", "grade", "i", "v"])
-
-    got = rated.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "grade").mapInArrow(sparse, "doc_id long, grade int, i array<int>, v array<float>").toArrow()
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(offs, pa.array(i)), pa.ListArray.from_arrays(offs, pa.array(v))], ["doc_id", "i", "v"])
+
+    kind = rated.schema["doc_id"].dataType.simpleString()
+    once = rated.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sparse_rows = materialize(once.mapInArrow(sparse, f"doc_id {kind}, i array<int>, v array<float>").join(F.broadcast(ids), "doc_id"), "features")
+    sized = sparse_rows.select("doc_id", "grade", "order", F.size("i").alias("n"))  # `most` rows of four numbers
+    kept = sized.withColumn("sum", F.sum("n").over(Window.orderBy("order", "doc_id", "grade").rowsBetween(Window.unboundedPreceding, 0))).where(F.col("sum") <= entries)
+    got = sparse_rows.join(F.broadcast(kept.select("doc_id", "grade").distinct()), ["doc_id", "grade"], "left_semi").drop("order").toArrow()
     got = got.sort_by([("doc_id", "ascending"), ("grade", "ascending")]).combine_chunks()
     at = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(got.column("i"))))]).astype(np.int64)
     i, v, grades = np.asarray(pc.list_flatten(got.column("i"))), np.asarray(pc.list_flatten(got.column("v"))), np.asarray(got.column("grade")).astype(np.int64)
@@ -189,7 +199,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", grade: int = KE
             out.append(tails(Model(w, t), *features(arr[a:b])))
             a = b
         p = np.concatenate(out) if out else np.zeros((0, len(t)))
-        last = p[:, grade - 1] if p.shape[1] >= grade else np.zeros(len(p))
+        last = p[:, grade - 1] if p.shape[1] >= grade else np.full(len(p), None)  # a grade that nothing was learned about
         return pd.DataFrame({"expected": p.sum(axis=1), "tail": last})
 
     small_batches(docs.sparkSession)
@@ -198,6 +208,6 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", grade: int = KE
 
 
 def select(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade: int = KEEP_GRADE, tail: float = KEEP_TAIL) -> DataFrame:
-    """Rows of docs whose tail probability is at least `tail`, with the two scores."""
+    """Rows of docs whose tail probability is at least `tail` or unknown, with the two scores."""
     scored = score(docs, train(docs, ratings, id_col, text_col), text_col, grade)
-    return scored.where(F.col(scored.columns[-1]) >= tail)
+    return scored.where(F.coalesce(F.col(scored.columns[-1]) >= tail, F.lit(True)))

@@ -77,12 +77,12 @@ def _in_order(docs: DataFrame) -> DataFrame:
     bucket = F.size(F.filter(F.array(*[F.lit(x) for x in bounds]).cast("array<long>"), lambda x: x <= F.col("id"))) if bounds else F.lit(0)
     # Without an id a row is in the last bucket, which is number 0.
     placed = docs.withColumns({"none": F.col("id").isNull(), "tie": F.xxhash64("text"), "bucket": F.when(F.col("id").isNull(), 0).otherwise(bucket)})
-    order = F.struct("none", (-F.col("id")).alias("down"), "tie")
+    order = F.struct("none", F.bitwise_not("id").alias("down"), "tie")
     firsts = placed.groupBy("bucket").agg(F.min(order).alias("first")).orderBy(F.col("bucket").desc()).collect()  # MOST_BUCKETS rows at most
     before = {r["bucket"]: firsts[i - 1]["bucket"] for i, r in enumerate(firsts)}
     table = spark.createDataFrame([(r["bucket"], before[r["bucket"]], *r["first"]) for r in firsts], "bucket int, before int, f_none boolean, f_down long, f_tie long")
     placed = placed.join(F.broadcast(table), "bucket")
-    is_first = F.struct("none", (-F.col("id")).alias("down"), "tie").eqNullSafe(F.struct(F.col("f_none").alias("none"), F.col("f_down").alias("down"), F.col("f_tie").alias("tie")))
+    is_first = F.struct("none", F.bitwise_not("id").alias("down"), "tie").eqNullSafe(F.struct(F.col("f_none").alias("none"), F.col("f_down").alias("down"), F.col("f_tie").alias("tie")))
     spread = placed.select("id", "text", "none", "tie", F.posexplode(F.when(is_first, F.array("bucket", "before")).otherwise(F.array("bucket"))).alias("copy", "place"))
     # Rows that are equal in id and text make several markers; all but the last are as good as absent.
     parts = max(1, len(firsts))

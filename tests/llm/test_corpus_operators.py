@@ -205,6 +205,35 @@ def test_newton_meets_targets():
         assert abs((copies * np.sort(size)[::-1]).sum() - share * whole) <= 0.001 * whole
 
 
+def test_distributed_newton_as_on_one_machine(spark):
+    """The rates of every source at once, among them one that must reach the bound and one without words."""
+    rng = random.Random(4)
+    cells = [(s, z, rng.randint(1, 30)) for s in ("a", "b", "c", None) for z in sorted({rng.randint(0, 4000) for _ in range(150)})] + [("zero", 0, 9), ("one", 7, 1)]
+    sizes = defaultdict(int)
+    for s, z, n in cells:
+        sizes[s] += z * n
+    share = {"a": 0.01, "b": 1.0, "c": 2.7, None: 0.6, "zero": 0.0, "one": 3.0}
+    goals = spark.createDataFrame([(s, sizes[s], float(share[s] * sizes[s])) for s in share], "source string, source_size long, target double")
+    frame_of = spark.createDataFrame(cells, "source string, size long, n long")
+    got = {r["source"]: r for r in mixing.multipliers(frame_of, goals).collect()}
+    assert len(got) == len(share)
+    for s in share:
+        z, n = (np.array([c[i] for c in cells if c[0] == s]) for i in (1, 2))
+        rate, _ = mixing.tilt(z, n, share[s] * sizes[s])
+        r = got[s]
+        if r["at"] is None:
+            assert s in ("zero", "one") and (rate[z > 0] == (3 if s == "one" else 0)).all()
+            continue
+        mine = np.where(z > 0, np.minimum(3, np.exp(r["at"] * z / r["mean_size"])), 1)
+        assert np.allclose(mine, rate, atol=1e-6) and abs((mine * z * n).sum() - r["target"]) < 1e-6 * sizes[s], s
+
+
+def test_mix_with_clashing_names(spark):
+    names = ("__cell_size", "__key", "__cell_n", "copies", "__block", "target")
+    got = mixing.mix_sources(frame(spark, ["a b", None, "c d e", "c d e"], **{n: "clash" for n in names}))
+    assert got.count() == 4 and all(r[n] == "clash" for r in got.collect() for n in names)
+
+
 # --- 3 ---
 
 
@@ -226,6 +255,26 @@ def test_shards_are_even_and_gapless(spark, tmp_path, monkeypatch):
     assert sharding.shuffle_into_shards(empty(spark)).count() == 0
 
 
+def test_equal_rows_are_scattered(spark, monkeypatch):
+    """A row that is there 6,000 times reaches over all buckets; the result doesn't depend on the order of rows."""
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 500)
+    rng = random.Random(3)
+    rows = [(7, "same text", "en", "s", 9)] * 6000 + [(i, prose(rng, 5), "en", None, None) for i in range(100, 3100)] + [(None, None, None, None, None)] * 5
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({n: F.lit("clash") for n in ("__place", "__bucket", "__row", "__n")}).withColumn("m", F.create_map(F.lit("k"), F.col("doc_id")))
+    got = sharding.shuffle_into_shards(df, 10).toPandas()
+    assert len(got) == len(rows) and (got["__place"] == "clash").all()
+    place = got.slot * 10 + got["shard"]
+    assert sorted(place) == list(range(len(rows)))
+    mine = np.sort(place[got.doc_id == 7])
+    assert abs(np.corrcoef(mine, np.arange(len(mine)))[0, 1]) > 0.999 and np.diff(mine).max() < 40 and mine.min() < 40 and mine.max() > len(rows) - 40
+    again = sharding.shuffle_into_shards(df.repartition(5).orderBy("text"), 10).toPandas()
+    assert sorted(zip(place, got.doc_id.fillna(-1))) == sorted(zip(again.slot * 10 + again["shard"], again.doc_id.fillna(-1)))
+    # Beyond the rows that may be broadcast the repeated keys are joined by a shuffle, to the same result.
+    monkeypatch.setattr(sharding, "BROADCAST_ROWS", 0)
+    other = sharding.shuffle_into_shards(df, 10).toPandas()
+    assert sorted(zip(place, got.doc_id.fillna(-1))) == sorted(zip(other.slot * 10 + other["shard"], other.doc_id.fillna(-1)))
+
+
 # --- 4 ---
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="with-sidebar"><header><h1>Site name</h1></header>
@@ -327,6 +376,17 @@ def test_site_lines(spark):
     assert line_dedup.drop_site_lines(df.limit(0), F.col("url")).count() == 0
 
 
+def test_site_lines_odd_rows(spark):
+    """Very long and repeated pages, and the names of columns that the operator uses itself."""
+    long = "\n".join(f"line {i}" for i in range(20_000))
+    pages = [(i, "http://h.example/", f"menu\nown {i}") for i in range(12)] + [(50, "http://h.example/", "menu\n" + long)] * 2
+    names = ("__bad_host", "__host", "__bad", "host", "hashes")
+    df = spark.createDataFrame(pages, "page_id long, url string, text string").withColumns({n: F.lit("clash") for n in names})
+    got = line_dedup.drop_site_lines(df, line_dedup.host_of(F.col("url"))).collect()
+    assert len(got) == 14 and all(r["n_dropped"] == 1 and r[n] == "clash" for r in got for n in names)
+    assert [r["text"] for r in got if r["page_id"] == 50] == [long] * 2
+
+
 # --- 7 ---
 
 
@@ -367,6 +427,15 @@ def test_ties_and_nulls_in_order(spark):
     assert simhash.fingerprint_documents(spark.createDataFrame(rows, SCHEMA)).count() == 5
 
 
+def test_order_of_extreme_ids(spark):
+    ids = [-(1 << 63), -1, 0, (1 << 63) - 1, None]
+    got = simhash.fingerprint_documents(spark.createDataFrame([(i, f"text {i}", None, None, 0) for i in ids], SCHEMA)).collect()
+    follows = {r["id"]: r["edited_sha256"] for r in got}
+    order = [(1 << 63) - 1, 0, -1, -(1 << 63), None]
+    for i, n in zip(order, [*order[1:], order[0]]):
+        assert follows[i] == hashlib.sha256(simhash.edited(f"text {i}", f"text {n}").encode()).hexdigest()
+
+
 def test_neighbours_as_brute_force(spark):
     rng = random.Random(6)
     prints = set()
@@ -512,6 +581,49 @@ def test_ordinal_edges(spark):
     assert {tuple(r) for r in quality.graded(labels).collect()} == {(1, 2), (2, 1), (3, 0), (4, 2)}
 
 
+def test_sample_is_bounded(spark, monkeypatch):
+    """Repeated ids, ratings of absent documents and long texts don't break the bounds."""
+    fitted = []
+    monkeypatch.setattr(quality, "fit", lambda i, v, at, grades: fitted.append((len(i), grades.tolist())))
+    docs = frame(spark, [f"word{i} text" for i in range(50)]).union(frame(spark, ["one text"] * 3000).withColumn("doc_id", F.lit(7).cast("long")))
+    ratings = spark.createDataFrame([(i, i % 3) for i in range(1000)] + [(7, None)], "doc_id long, grade int")
+    quality.train(docs, ratings, most=40)
+    assert len(fitted[0][1]) == 40
+    quality.train(docs, ratings, most=10)
+    assert len(fitted[1][1]) == 10
+    quality.train(docs, ratings)
+    assert len(fitted[2][1]) == 50
+    quality.train(docs, ratings, entries=100)
+    assert 50 < fitted[3][0] <= 100
+    quality.train(docs.repartition(7).orderBy("text"), ratings, entries=100)
+    assert fitted[4] == fitted[3]
+
+
+def test_selection_without_ratings_of_the_grade(spark):
+    """Nothing is known of the wanted grade: all rows stay, with a null probability."""
+    docs = frame(spark, ["a b c d", "e f", None])
+    for rows in ([], [(0, 0), (1, 1)]):
+        got = quality.select(docs, spark.createDataFrame(rows, "doc_id long, grade int")).collect()
+        assert len(got) == 3 and all(r["tail_probability"] is None for r in got)
+
+
+def test_scores_as_brute_force():
+    """The likelihood's gradient steps lower the loss of the cumulative-link model, and its scores are those of the formula."""
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(("aa", "bb", "cc") if g == 0 else ("bb", "dd", "ee") if g == 1 else ("ee", "ff", "gg")) + str(rng.randint(0, 80)) for _ in range(40)) for g in (0, 1, 2) for _ in range(200)]
+    grades = np.repeat([0, 1, 2], 200)
+    rows = quality.merged(*quality.features(pa.array(texts)))
+    m = quality.fit(*rows, grades)
+    index, value, at = rows
+    score = [sum(m.weights[i] * v for i, v in zip(index[a:b], value[a:b])) for a, b in zip(at[:-1], at[1:])]
+    want = [[1 / (1 + math.exp(min(40, max(-40, t - s)))) for t in m.thresholds] for s in score]
+    got = quality.tails(m, index, value, at)
+    assert np.allclose(got, want, atol=1e-6) and (np.diff(got, axis=1) <= 1e-12).all()
+    chance = np.concatenate([np.ones((600, 1)), got, np.zeros((600, 1))], axis=1)
+    loss = -np.log(chance[np.arange(600), grades] - chance[np.arange(600), grades + 1]).mean()
+    assert loss < 0.3, loss  # of a guess: ln 3
+
+
 # --- 10 ---
 
 ITEMS = [
