@@ -2,12 +2,13 @@
 
 A page is read once into a flat list of text blocks: text between the tags of block elements,
 tolerant of tags that are never closed. A block has its number of words, its link density (share
-of words in links), the same of its neighbours, and what kind of container it is in: the article, none in particular, or one
-that names itself as something else (navigation, footer, advert, comments, ...). A decision tree, grown
-(Gini impurity) on the labelled table below, decides which blocks are main text.
+of words in links), the same of its neighbours, whether it is a heading, and one feature for its container: from the article
+over containers that say nothing to elements that can't be the article (navigation, footer, comments, ...). A decision tree, grown
+(Gini impurity) on the labelled blocks of the small pages below, decides which blocks are main text.
 
-Defined cases: null or empty HTML gives an empty text; text without tags is one block; comments,
-scripts, styles and templates have no text, closed or not; a page without main text gives an empty text; equal rows have equal
+Time is in proportion to the page's length, however odd its tags. Defined cases: null or empty HTML gives an empty text; text without
+tags is one block; comments, scripts, styles and templates have no text, closed or not; of quotes that never end only the first few
+are looked for, then a tag ends at the next >; a page without main text gives an empty text; equal rows have equal
 results; an empty table gives an empty result; extra columns stay.
 """
 
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 import html
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -37,83 +38,64 @@ BOILER_NAMES = frozenset(
     "newsletter notice notification overlay pager pagination popup privacy promo promoted promotion recommendations recommended related search share sharebar sharing sidebar signin signup skip social sponsor sponsored subscribe subscription "
     "tagcloud toolbar topbar trending widget widgets".split()
 )
-COMMENT_NAMES = frozenset("comment comments commentlist disqus discussion replies reply respond responses".split())
+COMMENT_NAMES = frozenset("comment comments commentlist disqus replies respond responses".split())
 HEADER_NAMES = frozenset("header heading hero".split())
 CONTENT_NAMES = frozenset("article articlebody content entry main maincontent post story".split())
+# Words of class names that say where something is or what it is made of, not what it is.
+PLACE_NAMES = frozenset("site page top bottom left right list box area block container wrapper wrap section inner outer links link posts articles stories items item text bar buttons button primary secondary global sub".split())
 CLOSED_BY_SAME = frozenset("p li dt dd tr td th option".split())
 SCOPES = frozenset("article aside blockquote body div figure footer form header html main nav section table td th ul ol dl".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*+>?|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
+_PLAIN_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>")
+#: Tags whose quotes never end, after which a page's quotes are no longer looked at.
+MOST_UNENDED = 16
 _ATTR = re.compile(r"([A-Za-z_:-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
-NONE, CONTENT, BOILER = 0, 1, 2
+#: Containers, from the article to what can't be it: the article (or main part); named like one; says nothing; named like something
+#: else; beside the page's article; an element, role or comment list that is something else.
+CONTAINERS = "amxnob"
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "container", "heading")
 
-#: Labelled blocks: the features in this order (link densities in hundredths), then 1 for main text.
+#: Labelled blocks of small pages, in page order: container, words, then /linked words (or l: all of them), h for a heading, + for main text.
 LABELLED = (
-    # within the article
-    (120, 0, 80, 0, 95, 0, 1, 0, 1),
-    (35, 5, 120, 0, 60, 0, 1, 0, 1),
-    (9, 0, 0, 0, 45, 0, 1, 1, 1),
-    (3, 0, 60, 0, 70, 0, 1, 1, 1),
-    (1, 0, 1, 0, 1, 0, 1, 0, 1),
-    (1, 0, 40, 0, 2, 0, 1, 0, 1),
-    (2, 0, 3, 0, 0, 0, 1, 0, 1),
-    (6, 0, 2, 0, 5, 0, 1, 0, 1),
-    (14, 40, 60, 0, 30, 0, 1, 0, 1),
-    (20, 60, 15, 0, 40, 10, 1, 0, 1),
-    (5, 100, 60, 0, 45, 0, 1, 0, 1),
-    (4, 100, 35, 0, 30, 5, 1, 0, 1),
-    (4, 100, 5, 100, 3, 100, 1, 0, 0),
-    (6, 100, 4, 100, 5, 100, 1, 0, 0),
-    (3, 100, 3, 100, 6, 100, 1, 0, 0),
-    # within containers that say what they are
-    (6, 0, 0, 0, 5, 100, 2, 0, 0),
-    (1, 100, 1, 100, 1, 100, 2, 0, 0),
-    (1, 0, 40, 0, 1, 0, 2, 0, 0),
-    (14, 0, 200, 0, 0, 0, 2, 0, 0),
-    (80, 0, 120, 0, 60, 0, 2, 0, 0),
-    (45, 0, 30, 0, 50, 0, 2, 0, 0),
-    (25, 10, 90, 0, 3, 100, 2, 0, 0),
-    (8, 0, 4, 0, 9, 0, 2, 1, 0),
-    (150, 2, 100, 0, 0, 0, 2, 0, 0),
-    # in no container in particular: long and unlinked texts, and what stands between or above them
-    (90, 0, 60, 0, 70, 0, 0, 0, 1),
-    (60, 8, 3, 100, 80, 0, 0, 0, 1),
-    (40, 0, 0, 0, 0, 0, 0, 0, 1),
-    (25, 12, 40, 0, 35, 0, 0, 0, 1),
-    (18, 0, 45, 0, 2, 100, 0, 0, 1),
-    (30, 0, 6, 0, 3, 100, 0, 0, 1),
-    (7, 0, 50, 0, 60, 0, 0, 0, 1),
-    (2, 0, 30, 0, 40, 0, 0, 0, 1),
-    (4, 0, 20, 0, 55, 0, 0, 1, 1),
-    (8, 0, 3, 100, 40, 0, 0, 1, 1),
-    (6, 0, 0, 0, 25, 0, 0, 1, 1),
-    (5, 0, 2, 100, 1, 100, 0, 1, 0),
-    (3, 0, 4, 0, 3, 100, 0, 1, 0),
-    (2, 100, 2, 100, 3, 100, 0, 0, 0),
-    (1, 100, 0, 0, 1, 100, 0, 0, 0),
-    (1, 100, 0, 0, 60, 0, 0, 0, 0),
-    (3, 100, 2, 100, 50, 0, 0, 0, 0),
-    (2, 100, 40, 0, 70, 0, 0, 0, 0),
-    (4, 100, 60, 0, 0, 0, 0, 0, 0),
-    (12, 90, 10, 100, 14, 95, 0, 0, 0),
-    (30, 80, 25, 90, 20, 85, 0, 0, 0),
-    (6, 0, 3, 100, 4, 100, 0, 0, 0),
-    (5, 0, 0, 0, 2, 100, 0, 0, 0),
-    (9, 20, 40, 0, 0, 0, 0, 0, 0),
-    (8, 0, 30, 0, 0, 0, 0, 0, 0),
-    (4, 50, 60, 0, 3, 100, 0, 0, 0),
-    (3, 0, 2, 0, 4, 0, 0, 0, 0),
-    (11, 45, 5, 100, 30, 0, 0, 0, 0),
-)
-
-
-def told_by_container() -> tuple[tuple[int, ...], ...]:
-    """Further labelled blocks: with few links, what the container says holds at any length and beside any neighbours."""
-    beside = ((0, 0), (2, 0), (4, 100), (50, 0))
-    return tuple((w, d, *b, *a, c, 0, int(c == CONTENT)) for c in (CONTENT, BOILER) for d in (0, 60) for w in (1, 4, 12, 40, 150) for b in beside for a in beside)
+    "b1l b1l b2l b1l b3l o14 a9h+ a3+ a45+ a62+ a18/2+ a70+ a5h+ a38+ a2+ b9",
+    "b1l b1l b1l b1l b1l o8 a6h+ a1+ a2+ b12/2",
+    "b1l b2l o21 a8h+ a30+ n3 a55+ a12+ n17 a40+ n4l o35 o28 o60 o5 b7",
+    "b3h b1l b1l n18 a4h+ n2 a6+ a2+ a1+ a2/1+ b2 n1 b20 n17 b2",
+    "b2l b2l a7h+ a25+ a4+ a6+ a3l+ a5l+ a40+ a6/3+ o3h o6l o7l o5l b11",
+    "o12 a11h+ a150+ a90/9+ a200+ n30 a80+ o3h o45 o70 o9 o33 b15/3",
+    "b1l b1l b1l m8h+ m40+ m55+ m9+ m33+ n12 n20 b8",
+    "x1l x2l x1l m6h+ m12+ m7+ m15+ n5 n14 m3l m4l m3l b6",
+    "n18 m5h+ m60+ m35/4+ m80+ m6+ m28+ n22 n9 n3l n2l n4l b12/1",
+    "x1l x1l x2l x1l x6h+ x40+ x75+ x22+ x60+ x7 x1l x2l",
+    "x1l x1l x1l x5h+ x12+ x9+ x14+ x11+ x10+ x6",
+    "x2 x3l x2l x4l x30+ x18+ x24/3+ x41+ x8/4 x3l x5l x9",
+    "x1l x1l x8h+ x50+ x3+ x60+ x4+ x45+ x12+ x35+ x5",
+    "n25 x2l x1l x9h+ x35+ x50+ x28+ n25 n14 n40 n60 n3l n3l b9",
+    "x3 x1l x1l x2l x13+ x16+ x11+ x20+ x2l x3l x8",
+    "x3l x4l x12/11 x14/13 x10l x9l x3h x2l x3l x2l x4",
+    "x4h x3l x5l x2l x6h+ x26+ x70+ x5h+ x33+ x19+ x7",
+    "b1l b2l a4h+ a20+ a6+", "a8+", "a2+", "b3l a5h+ a30+ a5+", "a7h+ a1+", "a4h+ a3l+", "m4h+ m30+ m9+", "m6+",
+    "x45+", "x400+", "x3+", "x7+", "x5+", "x10+", "x15+", "x1l x300+", "x2l x8+ x12+", "x6h+ x24+", "x5h+ x9+ x13+",
+)
+
+
+def rows_of(blocks: list[tuple[int, int, int, int]]) -> list[tuple[int, ...]]:
+    """Features of a page's blocks (words, linked words, container, heading), in page order."""
+    flat = [(0, 0), *((w, round(100 * linked / w)) for w, linked, _, _ in blocks), (0, 0)]
+    return [(*flat[i + 1], *flat[i], *flat[i + 2], container, heading) for i, (_, _, container, heading) in enumerate(blocks)]
+
+
+def labelled_rows() -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the labelled blocks."""
+    x, y = [], []
+    for page in LABELLED:
+        parts = [re.fullmatch(r"([a-z])(\d+)(?:/(\d+)|(l))?(h?)(\+?)", b).groups() for b in page.split()]
+        x += rows_of([(int(w), int(w) if every else int(linked or 0), CONTAINERS.index(c), int(bool(h))) for c, w, linked, every, h, _ in parts])
+        y += [int(bool(main)) for *_, main in parts]
+    return np.array(x, float), np.array(y)
 
 
 @dataclass(frozen=True)
@@ -146,8 +128,7 @@ def grow(x: np.ndarray, y: np.ndarray, depth: int = 8) -> Node:
 
 @lru_cache(maxsize=1)
 def tree() -> Node:
-    table = np.array(LABELLED + told_by_container(), float)
-    return grow(table[:, :-1], table[:, -1].astype(int))
+    return grow(*labelled_rows())
 
 
 def classify(node: Node, row: tuple) -> bool:
@@ -159,42 +140,85 @@ def classify(node: Node, row: tuple) -> bool:
 @dataclass
 class Block:
     text: str
+    words: int
     linked: int
-    container: int
+    where: Where
     heading: bool
-    words: int = 0
 
 
-def _container(tag: str, attributes: str, outer: tuple[int, bool, bool]) -> tuple[int, bool, bool]:
-    """(container, whether nothing within can be the article, whether only headings count) of an element in an outer one."""
-    kind, sealed, heading_only = outer
-    if tag in ("html", "body"):
+@dataclass(frozen=True)
+class Where:
+    """What is known of the place of a block: strong (it can't be the article), named (m or n, or nothing), in an article, in the main part, only headings count."""
+
+    strong: bool = False
+    named: str = ""
+    article: bool = False
+    main: bool = False
+    heading_only: bool = False
+
+
+def _named(value: str) -> str:
+    """What class names say: c for comments, n for something else than the article, h for a header, m for the article; nothing if a name holds words of another sort or of both."""
+    found = ""
+    for name in value.split():
+        words = {x.lower() for x in _NAME.findall(name)} - PLACE_NAMES
+        boiler, content = words & BOILER_NAMES, words & CONTENT_NAMES
+        if words and words <= COMMENT_NAMES | BOILER_NAMES | HEADER_NAMES and words & COMMENT_NAMES:
+            return "c"
+        if boiler and words <= BOILER_NAMES | HEADER_NAMES:
+            found = "n"
+        elif words and words <= HEADER_NAMES:
+            found = found or "h"
+        elif content and not boiler:
+            found = found or "m"
+    return found
+
+
+def _container(tag: str, attributes: str, outer: Where) -> Where:
+    """The place within an element that stands in an outer one."""
+    if tag in ("html", "body") or outer.strong:
         return outer
-    names: set[str] = set()
-    role, hidden = "", False
+    says, role, hidden = "", "", False
     if attributes.strip(" /"):
         for m in _ATTR.finditer(attributes):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name in ("class", "id"):
-                names |= {x.lower() for x in _NAME.findall(value)}
+                found = _named(value)
+                says = found if found in ("c", "n") or not says else says
             elif name == "role":
                 role = value.strip().lower()
             hidden = hidden or name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value) is not None)
-    if sealed:
-        return outer
-    if names & COMMENT_NAMES or hidden:
-        return BOILER, True, False
-    if tag in ("article", "main") or role in ("main", "article"):
-        return CONTENT, False, False
+    if says == "c" or hidden:
+        return replace(outer, strong=True)
+    if tag == "article" or role == "article":
+        return Where(article=True, main=outer.main)
+    if tag == "main" or role == "main":
+        return Where(article=outer.article, main=True)
     if tag in BOILER_TAGS or role in BOILER_ROLES:
-        return BOILER, True, False
-    if tag == "header" or names & HEADER_NAMES:
-        return (kind, False, True) if kind == CONTENT else (BOILER, tag == "header", False)
-    if tag == "form" or names & BOILER_NAMES:
-        return BOILER, False, False
-    if kind == NONE and names & CONTENT_NAMES:
-        return CONTENT, False, False
-    return outer
+        return replace(outer, strong=True)
+    if tag == "header" or says == "h":
+        return replace(outer, heading_only=True) if outer.article or outer.main else replace(outer, strong=True) if tag == "header" else replace(outer, named="n")
+    if tag == "form" or says == "n":
+        return replace(outer, named="n")
+    return replace(outer, named="m") if says == "m" and not outer.named else outer
+
+
+def _tag_at(page: str, at: int, unended: list[int]) -> re.Match | None:
+    """The next tag or comment from `at` on."""
+    while (at := page.find("<", at)) >= 0:
+        found = _TAG.match(page, at) if len(unended) < MOST_UNENDED else None
+        if found:
+            return found
+        if (following := page[at + 1 : at + 2]) and (following.isalpha() or following in "/!?"):
+            if len(unended) < MOST_UNENDED:
+                unended.append(at)
+            found = _PLAIN_TAG.match(page, at) if following not in "!?" else _TAG.match(page, at)
+            if found:
+                return found
+            if page.find(">", at) < 0:
+                return None  # cut off by the page's end
+        at += 1
+    return None
 
 
 def blocks(page: str) -> list[Block]:
@@ -202,18 +226,17 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, tuple[int, bool, bool]]] = []
-    skipping, links, heading, at = 0, 0, False, 0
-    state = (NONE, False, False)
+    stack: list[tuple[str, Where]] = []
+    opened: dict[str, int] = {}
+    unended: list[int] = []
+    skipping = links = headings = at = 0
+    state = Where()
 
     def flush() -> None:
         if parts:
             words = "".join(parts).split()
             if words:
-                kind, _, heading_only = state
-                if heading_only and not heading:
-                    kind = BOILER
-                out.append(Block(" ".join(words), len(" ".join(linked).split()), kind, heading, len(words)))
+                out.append(Block(" ".join(words), len(words), len(" ".join(linked).split()), state, headings > 0))
             parts.clear()
             linked.clear()
 
@@ -224,16 +247,21 @@ def blocks(page: str) -> list[Block]:
             if links:
                 linked.append(text)
 
+    def count(tag: str, by: int) -> None:
+        nonlocal skipping, links, headings
+        opened[tag] = opened.get(tag, 0) + by
+        skipping += by * (tag in SKIPPED_TAGS)
+        links += by * (tag == "a")
+        headings += by * (len(tag) == 2 and tag[0] == "h" and tag[1].isdigit())
+
     def pop_to(i: int) -> None:
-        nonlocal state, skipping, links, heading
+        nonlocal state
         for tag, _ in stack[i:]:
-            skipping -= tag in SKIPPED_TAGS
-            links -= tag == "a"
+            count(tag, -1)
         state = stack[i][1]
         del stack[i:]
-        heading = any(len(tag) == 2 and tag[0] == "h" and tag[1].isdigit() for tag, _ in stack)
 
-    end, m = len(page), _TAG.search(page)
+    end, m = len(page), _tag_at(page, 0, unended)
     while m:
         add(page[at : m.start()])
         at = m.end()
@@ -241,11 +269,12 @@ def blocks(page: str) -> list[Block]:
         if tag and not m[1]:
             if tag == "br":
                 add(" ")
-            if tag in BLOCK_TAGS:
+            block = tag in BLOCK_TAGS
+            if block:
                 flush()
-            if tag in CLOSED_BY_SAME or tag in BLOCK_TAGS:
+            if tag in CLOSED_BY_SAME and opened.get(tag) or block and opened.get("p"):
                 for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag and tag in CLOSED_BY_SAME or stack[i][0] == "p" and tag in BLOCK_TAGS:
+                    if stack[i][0] == tag and tag in CLOSED_BY_SAME or stack[i][0] == "p" and block:
                         pop_to(i)
                         break
                     if stack[i][0] in SCOPES:
@@ -253,51 +282,61 @@ def blocks(page: str) -> list[Block]:
             if tag not in VOID_TAGS and not m[3].endswith("/"):
                 stack.append((tag, state))
                 state = _container(tag, m[3], state)
-                skipping += tag in SKIPPED_TAGS
-                links += tag == "a"
-                heading = heading or (len(tag) == 2 and tag[0] == "h" and tag[1].isdigit())
+                count(tag, 1)
                 if tag in RAW_TAGS:
                     close = re.compile(f"</{re.escape(tag)}\\s*>", re.I).search(page, at)
                     at = close.start() if close else end
         elif tag:
             if tag in BLOCK_TAGS:
                 flush()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    pop_to(i)
-                    break
-                if tag not in BLOCK_TAGS and stack[i][0] in SCOPES:
-                    break  # an inline end tag doesn't close a block
-        m = _TAG.search(page, at)
+            if opened.get(tag):
+                for i in range(len(stack) - 1, -1, -1):
+                    if stack[i][0] == tag:
+                        pop_to(i)
+                        break
+                    if tag not in BLOCK_TAGS and stack[i][0] in SCOPES:
+                        break  # an inline end tag doesn't close a block
+        m = _tag_at(page, at, unended)
     rest = page[at:]
-    cut = re.search(r"<[/!?A-Za-z][^<]*$", rest)  # a tag that the page's end cuts off
+    cut = re.search(r"<[/!?A-Za-z]", rest)  # a tag that the page's end cuts off
     add(rest[: cut.start()] if cut else rest)
     flush()
     return out
 
 
+def container_of(b: Block, with_article: bool) -> int:
+    """The block's container, as a place in CONTAINERS; with_article: whether the page has an article."""
+    w = b.where
+    if w.strong or w.heading_only and not b.heading:
+        return CONTAINERS.index("b")
+    if with_article and not w.article and not w.main:
+        return CONTAINERS.index("o")
+    if w.named == "n":
+        return CONTAINERS.index("n")
+    if w.article or w.main and not with_article:
+        return CONTAINERS.index("a")
+    return CONTAINERS.index("m" if w.main or w.named == "m" else "x")
+
+
+def text_of(page: str | None, root: Node) -> str:
+    """Blocks that the tree takes for main text, joined by newlines."""
+    found = blocks(page) if page else []
+    with_article = any(b.where.article and not b.where.strong for b in found)
+    rows = rows_of([(b.words, b.linked, container_of(b, with_article), int(b.heading)) for b in found])
+    return "\n".join(b.text for b, row in zip(found, rows, strict=True) if classify(root, row))
+
+
 def main_text(page: str | None) -> str:
-    """Blocks of main text, joined by newlines."""
-    if not page:
-        return ""
-    found, root = blocks(page), tree()
-    density = [round(100 * b.linked / b.words) for b in found]
-    kept = []
-    for i, b in enumerate(found):
-        before = (found[i - 1].words, density[i - 1]) if i else (0, 0)
-        after = (found[i + 1].words, density[i + 1]) if i + 1 < len(found) else (0, 0)
-        if classify(root, (b.words, density[i], *before, *after, b.container, int(b.heading))):
-            kept.append(b.text)
-    return "\n".join(kept)
+    return text_of(page, tree())
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """pages with main_text."""
     small_batches(pages.sparkSession)
-    tree()
+    root = tree()  # travels in the task; a cached function would be looked up by name in the worker
 
     @F.pandas_udf("string")
     def read(raw: pd.Series) -> pd.Series:
-        return pd.Series([main_text(x) for x in raw], dtype=object)
+        return pd.Series([text_of(x, root) for x in raw], dtype=object)
 
     return pages.withColumn(free_name(pages, "main_text"), read(F.col(html_col).cast("string")))
