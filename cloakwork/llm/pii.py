@@ -1,12 +1,13 @@
 """Personal data in texts: patterns, and a character BiLSTM-CRF for what patterns miss.
 
 Base spans (e-mail, IP, card, phone) come from fixed rules. For the model the whole text is cut
-into overlapping windows. Windows are decoded by the CRF; where windows overlap, each character takes
-the tag of the window in which it is farthest from an edge, so that the text has one reading. The
-model's spans are added if they don't touch a base span, are sure enough and hold what their kind
-needs: a digit, an at sign or the word `at`. Windows that can't decide a character of such a span
-are not computed; the spans are those of a reading of all windows. It is trained in numpy on labelled spans that a seeded grammar writes (`examples`), with dates,
-versions, amounts and codes as negative examples; no corpus text goes into it.
+into overlapping windows; each character's scores come from the window in which it is farthest from an edge, so that the
+windows together score the text once, and the CRF decodes these scores as one sequence. The model's spans are added if they don't touch a
+base span, are sure enough and are written like their kind: `name at firm dot org`, enough digits, four numbers. Every such spelling
+holds a place that a pattern finds (`marks`); characters further from all such places than the windows around them reach
+belong to no span, by definition, so windows there needn't be computed: the spans are those of reading all windows. The model is
+trained in numpy on labelled spans that a seeded grammar writes (`examples`), with dates, versions, amounts, codes and the word
+`at` as negative examples; no corpus text goes into it.
 
 Defined cases: a null or empty text has no spans; equal rows have equal results; a long text is
 read in as many windows as it needs; an empty table gives an empty result; extra columns stay.
@@ -15,6 +16,7 @@ read in as many windows as it needs; an empty table gives an empty result; extra
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,8 +30,10 @@ from .common import free_name, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 64, 32
+#: Windows read on either side of those that decide the characters of a mark.
+AROUND = 2
 #: Least mean probability of a model span's characters.
-SURE = 0.9
+SURE = 0.75
 SEED = 11
 
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -37,10 +41,15 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-#: Every span of the model holds one of these.
-_TRIGGER = re.compile(r"[0-9@]|\bat\b")
-#: For Spark: matches every text that _TRIGGER matches.
-_MAY_HOLD = "[0-9@]|(?<![0-9A-Za-z_])at(?![0-9A-Za-z_])"
+# How a span of the model must be written. Each spelling holds a match of one of the marks below.
+_AT = r"(?:@|[(\[]at[)\]]|\bat\b)"
+_DOT = r"(?:\.|\s\.\s|\s?[(\[]dot[)\]]\s?|\sdot\s)"
+_HOST = rf"\s?[A-Za-z0-9-]++{_DOT}[A-Za-z]"
+_EMAIL = re.compile(rf"[A-Za-z0-9._%+-]+\s?{_AT}\s?[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]+)+")
+_WRITTEN = {"ip": re.compile(r"[0-9]+(?: ?\. ?[0-9]+){3}"), "card": re.compile(r"[0-9][0-9 -]*"), "phone": re.compile(r"[+(0-9][0-9 ().+/-]*")}
+_MARKS = (re.compile(rf"{_AT}(?={_HOST})"), re.compile(r"(?<![0-9])[0-9]++(?: ?\. ?[0-9]++){3,}"), re.compile(r"[0-9](?:[ ().+/-]*[0-9]){8,}"))
+#: For Spark: matches every text in which a base rule or a mark matches.
+_MAY_HOLD = r"@|(?<![0-9A-Za-z_])at(?![0-9A-Za-z_])|[0-9] ?\. ?[0-9]++ ?\. ?[0-9]|[0-9](?:[ ().+/-]*+[0-9]){7}"
 
 
 def luhn(digits: str) -> bool:
@@ -107,8 +116,8 @@ def examples(count: int, seed: int = SEED) -> tuple[list[str], list[list[tuple[s
         return "".join(pick("abcdefghijklmnoprstuvw") for _ in range(int(rng.integers(2, 9))))
 
     def email() -> str:
-        at = pick(("@", "@", "@", "@", " @ ", " at ", "(at)", "[at]"))
-        dot = " dot " if at == " at " and rng.random() < 0.7 else "."
+        at = pick(("@", "@", "@", " @ ", " at ", " at ", " at ", "(at)", "[at]", " (at) ", " [at] "))
+        dot = pick((" dot ", ".")) if "at" in at else "."
         return name() + pick(("", ".", "_", "-")) + pick(("", digits(2), name())) + at + name() + pick(("", digits(1))) + dot + pick(("com", "org", "net", "de", "example.com", "co.uk"))
 
     def ip() -> str:
@@ -126,6 +135,8 @@ def examples(count: int, seed: int = SEED) -> tuple[list[str], list[list[tuple[s
     def benign() -> str:
         return pick(
             (
+                f"{word()} at {word()}",
+                f"at {digits(2)}:{digits(2)}",
                 f"{pick(('19', '20'))}{digits(2)}",
                 f"{digits(4)}-{digits(2)}-{digits(2)}",
                 f"{digits(2)}.{digits(2)}.{digits(4)}",
@@ -150,6 +161,14 @@ def examples(count: int, seed: int = SEED) -> tuple[list[str], list[list[tuple[s
     texts, spans = [], []
     for _ in range(count):
         text, marked = "", []
+        if rng.random() < 0.15:  # a short text
+            kind, before = pick(KINDS), " ".join(word() for _ in range(int(rng.integers(0, 3))))
+            value = make[kind]()
+            at = len(before) + bool(before)
+            text = f"{before} {value}".lstrip() + pick(("", ".", f" {word()}"))
+            texts.append(text[:WINDOW])
+            spans.append([(kind, at, min(at + len(value), WINDOW))] if at < WINDOW else [])
+            continue
         while len(text) < WINDOW:
             r = rng.random()
             if r < 0.16:
@@ -178,8 +197,8 @@ def tagged(texts: list[str], spans: list[list[tuple[str, int, int]]]) -> tuple[n
 
 
 @lru_cache(maxsize=1)
-def model(count: int = 2400, epochs: int = 8) -> bilstm_crf.Params:
-    return bilstm_crf.train(*tagged(*examples(count)), CHARS, 1 + len(KINDS), epochs=epochs)
+def model(count: int = 12000, epochs: int = 6) -> bilstm_crf.Params:
+    return bilstm_crf.train(*tagged(*examples(count)), CHARS, 1 + len(KINDS), h=24, epochs=epochs)
 
 
 def last_window(n: int) -> int:
@@ -193,74 +212,95 @@ def decided(k: int, n: int) -> tuple[int, int]:
     return (k * STRIDE + edge if k else 0), (n if k == last_window(n) else (k + 1) * STRIDE + edge)
 
 
-def readings(p: bilstm_crf.Params, texts: list[str], needed: list[set[int]]) -> list[dict[int, tuple[np.ndarray, np.ndarray]]]:
-    """For each text, tags and probabilities of the characters that its needed windows decide, and those of the windows beside them as far as a span goes on."""
-    out: list[dict[int, tuple[np.ndarray, np.ndarray]]] = [{} for _ in texts]
-    todo = [(i, k) for i, ks in enumerate(needed) for k in sorted(ks)]
-    while todo:
-        beside = set()
-        for lo in range(0, len(todo), 512):
-            some = todo[lo : lo + 512]
-            block = np.ones((len(some), WINDOW), np.int64)
-            for row, (i, k) in enumerate(some):
-                part = encode(texts[i][k * STRIDE : k * STRIDE + WINDOW])
-                block[row, : len(part)] = part
-            em = bilstm_crf.emissions(p, block)
-            best, chance = bilstm_crf.viterbi(em, p.trans), bilstm_crf.marginals(em, p.trans)[1]
-            for row, (i, k) in enumerate(some):
-                a, b = (x - k * STRIDE for x in decided(k, len(texts[i])))
-                tags = best[row, a:b]
-                out[i][k] = tags, chance[row, np.arange(a, b), tags]
-                if tags[0] and k:
-                    beside.add((i, k - 1))
-                if tags[-1] and k < last_window(len(texts[i])):
-                    beside.add((i, k + 1))
-        todo = sorted((i, k) for i, k in beside if k not in out[i])
+def marks(text: str) -> list[tuple[int, int]]:
+    """Places without which no span of the model is written like its kind."""
+    return [m.span() for pattern in _MARKS for m in pattern.finditer(text)]
+
+
+def stretches(text: str) -> list[tuple[int, int]]:
+    """Runs of windows (first, last) that are read: those that decide the characters of a mark, and AROUND on either side."""
+    last, edge, out = last_window(len(text)), (WINDOW - STRIDE) // 2, []
+    deciding = lambda i: min(last, max(0, (i - edge) // STRIDE))
+    for a, b in sorted((max(0, deciding(a) - AROUND), min(last, deciding(b - 1) + AROUND)) for a, b in marks(text)):
+        if out and a <= out[-1][1] + 1:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
+
+
+def readings(p: bilstm_crf.Params, texts: list[str], needed: list[set[int]]) -> list[dict[int, np.ndarray]]:
+    """For each text and needed window the scores (characters x tags) of the characters that the window decides."""
+    todo = [(i, k) for i, some in enumerate(needed) for k in sorted(some)]
+    out: list[dict[int, np.ndarray]] = [{} for _ in texts]
+    for lo in range(0, len(todo), 1024):
+        some = todo[lo : lo + 1024]
+        block = np.ones((len(some), WINDOW), np.int64)
+        for row, (i, k) in enumerate(some):
+            part = encode(texts[i][k * STRIDE : k * STRIDE + WINDOW])
+            block[row, : len(part)] = part
+        em = bilstm_crf.emissions(p, block)
+        for row, (i, k) in enumerate(some):
+            a, b = decided(k, len(texts[i]))
+            out[i][k] = em[row, a - k * STRIDE : b - k * STRIDE]
     return out
 
 
-def plausible(kind: str, value: str) -> bool:
-    """What a span of the model must hold, whatever its tags say."""
-    digits = sum(c.isdigit() for c in value)
+def decode(p: bilstm_crf.Params, runs: list[np.ndarray], cells: int = 1 << 17) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Best tags of each run of scores, no span crossing its ends, and their probabilities (of runs without a span: 1)."""
+    out: list = [None] * len(runs)
+    order, lo = sorted(range(len(runs)), key=lambda i: len(runs[i])), 0
+    while lo < len(order):
+        hi = lo + 1
+        while hi < len(order) and (hi + 1 - lo) * len(runs[order[hi]]) <= cells:
+            hi += 1
+        some, lo = order[lo:hi], hi
+        # Before, behind and beside the run all characters are without a span.
+        em = np.full((len(some), len(runs[some[-1]]) + 2, len(p.trans)), -1e6, np.float32)
+        em[:, :, 0] = 0
+        for row, i in enumerate(some):
+            em[row, 1 : len(runs[i]) + 1] = runs[i]
+        best = bilstm_crf.viterbi(em, p.trans)
+        told = np.flatnonzero(best.any(axis=1))
+        sure = dict(zip(told.tolist(), bilstm_crf.marginals(em[told], p.trans)[1], strict=True)) if len(told) else {}
+        for row, i in enumerate(some):
+            tags = best[row, 1 : len(runs[i]) + 1]
+            out[i] = tags, sure[row][np.arange(1, len(tags) + 1), tags] if row in sure else np.ones(len(tags))
+    return out
+
+
+def written(kind: str, value: str) -> tuple[int, int] | None:
+    """The part of a span of the model that is written like its kind."""
     if kind == "email":
-        return ("@" in value or re.search(r"\bat\b|[(\[]at[)\]]", value) is not None) and len(value) >= 6 and ("." in value or " dot " in value)
-    if kind == "ip":
-        return value.count(".") == 3 and digits >= 4
-    if kind == "card":
-        return 15 <= digits <= 19 and re.fullmatch(r"[0-9][0-9 -]*", value) is not None
-    return 9 <= digits <= 15 and re.fullmatch(r"[+(0-9][0-9 ().+/-]*", value) is not None
+        found = _EMAIL.search(value)
+        return found.span() if found else None
+    x, y = len(value) - len(value.lstrip(" .,;:\n\t")), len(value.rstrip(" .,;:\n\t\"'*#!"))
+    digits, (least, most) = sum(c.isdigit() for c in value), {"ip": (4, 12), "card": (15, 19), "phone": (9, 15)}[kind]
+    return (x, y) if least <= digits <= most and _WRITTEN[kind].fullmatch(value, x, y) else None
 
 
 def model_spans(p: bilstm_crf.Params, texts: list[str], base: list[list[tuple[str, int, int]]]) -> list[list[tuple[str, int, int]]]:
     """Spans that the model adds to each text."""
-    marks = [np.array([m.start() for m in _TRIGGER.finditer(t)], np.int64) for t in texts]
-    edge = (WINDOW - STRIDE) // 2
-    read = readings(p, texts, [set(np.clip((at - edge) // STRIDE, 0, last_window(len(t))).tolist()) for t, at in zip(texts, marks, strict=True)])
+    runs = [stretches(t) for t in texts]
+    read = readings(p, texts, [{k for a, b in some for k in range(a, b + 1)} for some in runs])
+    flat = [(i, decided(a, len(texts[i]))[0], np.concatenate([read[i][k] for k in range(a, b + 1)])) for i, some in enumerate(runs) for a, b in some]
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    taken = []
-    for found in base:  # sorted starts and the farthest end so far
-        s = sorted((a, b) for _, a, b in found)
-        taken.append((np.array([a for a, _ in s], np.int64), np.maximum.accumulate(np.array([b for _, b in s] or [0], np.int64))))
-    pieces = []  # text, start, tags, probabilities of windows that follow each other
-    for i, got in enumerate(read):
-        ks = sorted(got)
-        first = [k for k in ks if k - 1 not in got]
-        for k, end in zip(first, [*first[1:], last_window(len(texts[i])) + 1], strict=False):
-            row = [got[j] for j in ks if k <= j < end]
-            pieces.append((i, decided(k, len(texts[i]))[0], np.concatenate([t for t, _ in row]), np.concatenate([c for _, c in row])))
-    for i, a, tags, sure in pieces:
+    taken = {}
+    for (i, a, _), (tags, sure) in zip(flat, decode(p, [em for _, _, em in flat]), strict=True):
         change = np.flatnonzero(np.diff(tags, prepend=-1))
         for x, y in zip(change.tolist(), [*change[1:].tolist(), len(tags)], strict=True):
-            if not tags[x]:
+            kind = KINDS[tags[x] - 1]
+            part = written(kind, texts[i][a + x : a + y]) if tags[x] else None
+            if part is None:
                 continue
-            kind, value = KINDS[tags[x] - 1], texts[i][a + x : a + y]
-            x, y = x + len(value) - len(value.lstrip(" .,;:\n\t")), y - (len(value) - len(value.rstrip(" .,;:\n\t\"'*#!")))
-            if y <= x or float(sure[x:y].mean()) < SURE or not plausible(kind, texts[i][a + x : a + y]):
+            x, y = x + part[0], x + part[1]
+            if float(sure[x:y].mean()) < SURE:
                 continue
-            if np.searchsorted(marks[i], a + x) == np.searchsorted(marks[i], a + y):
-                continue  # an `at` that is the end of a word
+            if i not in taken:  # sorted starts and the farthest end so far
+                s = sorted((a, b) for _, a, b in base[i])
+                taken[i] = [a for a, _ in s], np.maximum.accumulate([b for _, b in s] or [0]).tolist()
             starts, ends = taken[i]
-            before = int(np.searchsorted(starts, a + y))
+            before = bisect_left(starts, a + y)
             if before == 0 or ends[before - 1] <= a + x:
                 out[i].append((kind, a + x, a + y))
     return out
@@ -286,6 +326,6 @@ def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
         return pd.DataFrame({"base": out_b, "every": out_e})
 
     text = F.col(text_col).cast("string")
-    # A text without digits, at signs and the word `at` can't hold data of these kinds; it needn't travel to Python.
+    # A text in which no base rule and no mark can match has no spans; it needn't travel to Python.
     out = docs.withColumn(spans, spot(F.when(text.rlike(_MAY_HOLD), text)))
     return out.withColumns({base: F.col(f"{spans}.base"), every: F.col(f"{spans}.every")}).drop(spans)
