@@ -26,23 +26,20 @@ def main(argv: Sequence[str] | None = None) -> int:
     try:
         from pyspark.sql import SparkSession
 
-        from .plans.declared import catalog_of
         from .plans.policy import load
         from .plans.stages import run_masking, verify_run
+        from .sources.jdbc_catalog import open_catalog
 
         policy = load(args.policy)
         spark = SparkSession.builder.getOrCreate()
-        if args.command == "run":
-            run_masking(spark, policy, os.environ, catalog_of, args.run_id, args.resume)
-        else:
-            verify_run(spark, policy, os.environ, catalog_of, args.run_id)
-    except CloakError as e:
-        print(f"error: {e}", file=sys.stderr)
-        return e.exit_code
-    except Exception:
-        print("error: internal failure", file=sys.stderr)  # no details: they may hold values
-        return 6
-    return 0
+        size = policy.verifier_fetch_size if args.command == "verify" else policy.collector_fetch_size
+        arguments = (spark, policy, os.environ, lambda session, place: open_catalog(session, place, size), args.run_id)
+        run_masking(*arguments, args.resume) if args.command == "run" else verify_run(*arguments)
+        return 0
+    except Exception as e:  # only our own errors may be shown: others may hold values
+        known = isinstance(e, CloakError)
+        sys.stderr.write(f"error: {e if known else 'internal failure'}\n")
+        return e.exit_code if known else 6
 
 
 if __name__ == "__main__":

@@ -1,12 +1,14 @@
-"""The mapping registry: digests to replacements, as versioned Parquet snapshots with one pointer to the current one.
+"""The mapping registry: digests to replacements, as Parquet folders that are only ever added, with one pointer to those in force.
 
-It never holds a source value. Every change writes a new snapshot, checks it by queries, and only
-then moves the pointer; one writer at a time, as many readers as wanted.
+It never holds a source value. A change writes its own rows alone, as a new folder, after checking them against what is
+there; then the pointer is replaced atomically. Folders that no pointer names are leftovers of a change that failed. When many folders have
+gathered, they are merged into one. One writer at a time, as many readers as wanted.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..errors import RegistryConflict, RegistryError
+from ..functions.numbering import checkpointed
 from ..functions.scalars import is_digest
-from ..sources.tables import read_json_document, write_json_document
+from ..sources.tables import folder_holds_data, read_json_document, write_json_document
 
 SCHEMA = "group_id string, source_hmac string, replacement string, replacement_hmac string"
 #: Registries of more rows than this are joined by shuffling both sides.
@@ -68,6 +71,11 @@ def source_collisions(mappings: DataFrame) -> DataFrame:
     return mappings.where(F.col("replacement_hmac").isNotNull()).join(sources, ["group_id", "replacement_hmac"], "left_semi")
 
 
+def already_given(batch: DataFrame, given: DataFrame, column: str = "source_hmac") -> DataFrame:
+    """Rows of given (group_id, ...) whose column some row of the batch has too."""
+    return given.join(batch.select("group_id", column), ["group_id", column], "left_semi")
+
+
 def mapping_counts(mappings: DataFrame) -> DataFrame:
     """(group_id, mappings, assigned)."""
     return mappings.groupBy("group_id").agg(F.count(F.lit(1)).alias("mappings"), F.count("replacement").alias("assigned"))
@@ -95,42 +103,47 @@ def small_enough(mappings: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(mappings) if mappings.limit(most + 1).count() <= most else mappings
 
 
+#: Folders of either kind beyond which they are merged.
+MOST_PARTS = 32
+_KEYS, _GIVEN = "group_id string, source_hmac string", SCHEMA
+
+
 class Registry:
-    """Snapshots under `root`; `root`/CURRENT names the current one."""
+    """Folders under `root`; `root`/CURRENT names those in force: keys, and replacements given to them."""
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
         text = read_json_document(spark, f"{self.root}/CURRENT")
-        state = json.loads(text) if text else {"version": 0, "meta": None, "stats": asdict(GenerationStats())}
-        self.version: int = state["version"]
+        if text is None and folder_holds_data(spark, self.root):
+            raise RegistryError("the registry has lost its pointer")
+        state = json.loads(text) if text else {"keys": [], "given": [], "meta": None, "stats": asdict(GenerationStats())}
+        self.parts: dict[str, list[str]] = {"keys": state["keys"], "given": state["given"]}
         self.metadata = RunMetadata(**state["meta"]) if state["meta"] else None
         self.stats = GenerationStats(**state["stats"])
 
+    def _read(self, kind: str, schema: str) -> DataFrame:
+        paths = [f"{self.root}/{x}" for x in self.parts[kind]]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
     def frame(self) -> DataFrame:
-        if not self.version:
-            return self.spark.createDataFrame([], SCHEMA)
-        return self.spark.read.schema(SCHEMA).parquet(f"{self.root}/v{self.version}")
+        """(group_id, source_hmac, replacement, replacement_hmac) of all keys."""
+        return self._read("keys", _KEYS).join(self._read("given", _GIVEN), ["group_id", "source_hmac"], "left") if self.parts["given"] else self._read("keys", _KEYS).select("*", F.lit(None).cast("string").alias("replacement"), F.lit(None).cast("string").alias("replacement_hmac"))
 
-    def _point(self) -> None:
-        state = {"version": self.version, "meta": asdict(self.metadata) if self.metadata else None, "stats": asdict(self.stats)}
+    def _point(self, parts: dict[str, list[str]] | None = None, stats: GenerationStats | None = None) -> None:
+        parts, stats = parts or self.parts, stats or self.stats
+        state = {**parts, "meta": asdict(self.metadata) if self.metadata else None, "stats": asdict(stats)}
         write_json_document(self.spark, f"{self.root}/CURRENT", json.dumps(state, sort_keys=True))
-
-    def _publish(self, frame: DataFrame) -> None:
-        path = f"{self.root}/v{self.version + 1}"
-        frame.select(*SCHEMA.replace(" string", "").split(", ")).write.mode("overwrite").parquet(path)
-        written = self.spark.read.schema(SCHEMA).parquet(path)
-        self._check(written)
-        self.version += 1
-        self._point()
-
-    def _check(self, frame: DataFrame) -> None:
-        if not frame.groupBy("group_id", "source_hmac").count().where("count > 1").isEmpty():
-            raise RegistryConflict("a key is registered twice")
-        for column in ("replacement", "replacement_hmac"):
-            if not duplicate_replacements(frame, column).isEmpty():
-                raise RegistryConflict("two keys would share a replacement")
-        if not source_collisions(frame).isEmpty():
-            raise RegistryConflict("a replacement equals a source value")
+        self.parts, self.stats = parts, stats
+
+    def _add(self, kind: str, rows: DataFrame, schema: str, stats: GenerationStats | None = None) -> None:
+        """Put rows in force, with the statistics, in one step."""
+        name = f"{kind}-{uuid.uuid4().hex}"
+        rows.select(*[c.split()[0] for c in schema.split(", ")]).write.parquet(f"{self.root}/{name}")
+        self._point(self.parts | {kind: [*self.parts[kind], name]}, stats)
+        if len(self.parts[kind]) > MOST_PARTS:
+            merged = f"{kind}-{uuid.uuid4().hex}"
+            self._read(kind, schema).write.parquet(f"{self.root}/{merged}")
+            self._point(self.parts | {kind: [merged]})
 
     def initialise(self, metadata: RunMetadata) -> None:
         """Store the metadata, or require that they equal the stored ones in every field."""
@@ -148,37 +161,47 @@ class Registry:
 
     def insert(self, keys: DataFrame) -> int:
         """Register keys (group_id, source_hmac); those known are left alone. Number of new ones."""
-        fresh = new_keys(keys, self.frame()).select("group_id", "source_hmac", F.lit(None).cast("string").alias("replacement"), F.lit(None).cast("string").alias("replacement_hmac"))
-        before = self.frame().count()
+        before = self._read("keys", _KEYS)
+        fresh = new_keys(keys, before)
         if fresh.isEmpty():
             return 0
-        self._publish(self.frame().unionByName(fresh))
-        return self.frame().count() - before
+        # A replacement that was given before must not be a key now.
+        if not self._read("given", _GIVEN).join(fresh.select("group_id", F.col("source_hmac").alias("replacement_hmac")), ["group_id", "replacement_hmac"], "left_semi").isEmpty():
+            raise RegistryConflict("a replacement equals a source value")
+        count = before.count()
+        self._add("keys", fresh, _KEYS)
+        return self._read("keys", _KEYS).count() - count
 
     def assign(self, assignments: DataFrame, stats: GenerationStats | None = None) -> None:
-        """Give replacements (group_id, source_hmac, replacement, replacement_hmac) to registered keys: all of them or none."""
-        a = assignments.select("group_id", "source_hmac", F.col("replacement").alias("r"), F.col("replacement_hmac").alias("rh"))
-        if not a.where(F.col("r").isNull() | F.col("rh").isNull()).isEmpty():
+        """Give replacements (group_id, source_hmac, replacement, replacement_hmac) to registered keys: all of them or none.
+
+        Only the batch is checked, against itself and against what is there.
+        """
+        a = checkpointed(assignments.select("group_id", "source_hmac", "replacement", "replacement_hmac"))
+        small = small_enough(a)
+        known, given = self._read("keys", _KEYS), self._read("given", _GIVEN)
+        if not a.where(F.col("replacement").isNull() | F.col("replacement_hmac").isNull()).isEmpty():
             raise RegistryError("an assignment needs a replacement and its digest")
-        known = self.frame()
         if not a.groupBy("group_id", "source_hmac").count().where("count > 1").isEmpty():
             raise RegistryConflict("a batch assigns a key twice")
-        if not a.join(known, ["group_id", "source_hmac"], "left_anti").isEmpty():
+        if known.join(small.select("group_id", "source_hmac"), ["group_id", "source_hmac"], "left_semi").count() < a.count():
             raise RegistryError("a batch assigns a key that isn't registered")
-        if not a.join(known.where(F.col("replacement").isNotNull()), ["group_id", "source_hmac"], "left_semi").isEmpty():
+        if not already_given(small, given).isEmpty():
             raise RegistryConflict("a key is already assigned")
-        merged = known.join(a, ["group_id", "source_hmac"], "left").select("group_id", "source_hmac", F.coalesce("replacement", "r").alias("replacement"), F.coalesce("replacement_hmac", "rh").alias("replacement_hmac"))
-        old = self.stats
-        self.stats = old.plus(stats or GenerationStats())
-        try:
-            self._publish(merged)
-        except Exception:
-            self.stats = old
-            raise
+        for column in ("replacement", "replacement_hmac"):
+            if not duplicate_replacements(a, column).isEmpty() or not already_given(small, given, column).isEmpty():
+                raise RegistryConflict("two keys would share a replacement")
+        if not already_given(small.select("group_id", F.col("replacement_hmac").alias("source_hmac")), known).isEmpty():
+            raise RegistryConflict("a replacement equals a source value")
+        self._add("given", a, _GIVEN, self.stats.plus(stats or GenerationStats()))
+
+    def _publish(self, mappings: DataFrame) -> None:
+        """Take over the mappings of another registry."""
+        self.insert(mappings)
+        self.assign(mappings.where(F.col("replacement").isNotNull()))
 
     def record(self, stats: GenerationStats) -> None:
-        self.stats = self.stats.plus(stats)
-        self._point()
+        self._point(stats=self.stats.plus(stats))
 
     def count(self, group: str, assigned_only: bool = False) -> int:
         rows = self.frame().where(F.col("group_id") == group)

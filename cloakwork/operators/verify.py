@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import INVALID, OK
-from ..plans.catalog import Catalog, KeyConstraint, Snapshot, columns_frame, foreign_keys_frame, keys_frame
+from ..plans.catalog import Catalog, KeyConstraint, Snapshot, columns_frame, foreign_key_signatures, keys_frame
 from ..plans.policy import ColumnRef, Policy
 from .keys import Digester, group_values
 from .registry import mapping_counts, small_enough
@@ -49,9 +50,15 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows") for n, df in sorted(tables.items())])
 
 
+def blinded(value: Column, salt: str) -> Column:
+    """Salted SHA-256 of a value, null for null: what may be shuffled instead of the value."""
+    return F.unhex(F.sha2(F.concat(F.lit(salt), value), 256))
+
+
 def column_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, null_count, distinct_count), all columns in one scan; distinct counts are exact and of raw values."""
-    parts = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])).alias("x")
+    """(column_name, null_count, distinct_count), all columns in one scan; distinct counts are exact and of raw values, which are blinded in the scan."""
+    salt = uuid.uuid4().hex
+    parts = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), blinded(F.col(c).cast("string"), salt).alias("value")) for c in columns])).alias("x")
     long = df.select(parts).select("x.*").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
     empty = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
     got = long.groupBy("column_name").agg(F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("null_count"), F.count("value").alias("distinct_count"))
@@ -121,8 +128,11 @@ def aligned_metrics(source: DataFrame, target: DataFrame, key: tuple[str, ...],
     If both sides have the same keys, pairing by position and by key is the same, and one join on
     the key does; else rows are paired by position and unequal keys are mismatches without a comparison of values.
     """
+    salt = uuid.uuid4().hex
     s = source.select(*[F.col(c).alias(f"s_{c}") for c in key], F.col(column).cast("string").alias("sv"), F.lit(True).alias("in_s"))
-    t = target.select(*[F.col(c).alias(f"t_{c}") for c in key], F.col(column).cast("string").alias("tv"), F.lit(True).alias("in_t"))
+    # Values are hashed beside the scan, so that only digests are shuffled.
+    s = s.withColumn("k", norm(F.col("sv"))).select("in_s", *[f"s_{c}" for c in key], F.col("k.status").alias("status"), F.col("k.digest").alias("h"), blinded(F.col("sv"), salt).alias("sv"))
+    t = target.select(*[F.col(c).alias(f"t_{c}") for c in key], blinded(F.col(column).cast("string"), salt).alias("tv"), F.lit(True).alias("in_t"))
     tagged = source.select(*key).withColumn("side", F.lit(1)).unionByName(target.select(*key).withColumn("side", F.lit(-1)))
     per_key = tagged.groupBy(*key).agg(F.sum("side").alias("d"), F.count(F.lit(1)).alias("n"))
     same_key = reduce(and_, [F.col(f"s_{c}").eqNullSafe(F.col(f"t_{c}")) for c in key])
@@ -131,11 +141,10 @@ def aligned_metrics(source: DataFrame, target: DataFrame, key: tuple[str, ...],
     else:
         both = positioned(s, tuple(f"s_{c}" for c in key)).join(positioned(t, tuple(f"t_{c}" for c in key)), "position", "full")
     paired = F.coalesce(F.col("in_s") & F.col("in_t") & same_key, F.lit(False))
-    both = both.withColumn("k", norm(F.col("sv"))).withColumn("h", F.col("k.digest"))
-    side = small_enough(mappings.select(F.col("source_hmac").alias("h"), F.col("replacement").alias("r")))
+    side = small_enough(mappings.where(F.coalesce("replacement", F.lit("")) != "").select(F.col("source_hmac").alias("h"), blinded(F.col("replacement"), salt).alias("r")))
     both = both.join(side, "h", "left")
-    source_null, valid = F.col("sv").isNull(), F.col("k.status") == OK
-    found = valid & (F.coalesce("r", F.lit("")) != "")
+    source_null, valid = F.col("sv").isNull(), F.col("status") == OK
+    found = valid & F.col("r").isNotNull()
     compared = paired & found & F.col("tv").isNotNull() & F.lit(target_is_text)
     count = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
     return both.agg(
@@ -144,7 +153,7 @@ def aligned_metrics(source: DataFrame, target: DataFrame, key: tuple[str, ...],
         count(compared & (F.col("tv") != F.col("r"))).alias("mapping_mismatches"),
         count(paired & ((source_null & F.col("tv").isNotNull()) | (found & F.col("tv").isNull()))).alias("null_mismatches"),
         count(compared & (F.col("tv") == F.col("sv"))).alias("unchanged_values"),
-        count(paired & (F.col("k.status") == INVALID)).alias("invalid_source_values"),
+        count(paired & (F.col("status") == INVALID)).alias("invalid_source_values"),
         count(paired & found & F.col("tv").isNotNull() & ~F.lit(target_is_text)).alias("invalid_target_values"),
         count(~paired).alias("primary_key_mismatches"),
     )
@@ -152,13 +161,13 @@ def aligned_metrics(source: DataFrame, target: DataFrame, key: tuple[str, ...],
 
 def aggregate_metrics(source: DataFrame, target: DataFrame, column: str, mappings: DataFrame, norm, exact) -> DataFrame:
     """The counters of one column without a usable key: multisets of exact texts, as digests."""
-    s = source.select(F.col(column).cast("string").alias("sv")).withColumn("k", norm(F.col("sv"))).withColumn("h", F.col("k.digest"))
+    s = source.select(F.col(column).cast("string").alias("sv")).withColumn("k", norm(F.col("sv"))).select(F.col("sv").isNull().alias("s_null"), F.col("k.status").alias("status"), F.col("k.digest").alias("h"))
     side = small_enough(mappings.select(F.col("source_hmac").alias("h"), F.col("replacement").alias("r")))
     s = s.join(side, "h", "left")
-    valid = F.col("k.status") == OK
+    valid = F.col("status") == OK
     found = valid & (F.coalesce("r", F.lit("")) != "")
     t = target.select(F.col(column).cast("string").alias("tv"))
-    mine = s.agg(F.count(F.lit(1)).alias("rows_checked"), F.count_if(valid & ~found).alias("missing_mappings"), F.count_if(F.col("k.status") == INVALID).alias("invalid_source_values"), F.count_if(F.col("sv").isNull()).alias("s_null"))
+    mine = s.agg(F.count(F.lit(1)).alias("rows_checked"), F.count_if(valid & ~found).alias("missing_mappings"), F.count_if(F.col("status") == INVALID).alias("invalid_source_values"), F.count_if("s_null").alias("s_null"))
     theirs = t.agg(F.count_if(F.col("tv").isNull()).alias("t_null"))
     expected = s.where(found).select(exact(F.col("r"))["digest"].alias("value"))
     actual = t.where(F.col("tv").isNotNull()).select(exact(F.col("tv"))["digest"].alias("value"))
@@ -230,7 +239,7 @@ def check_statistics(policy: Policy, source: dict[ColumnRef, tuple[int, int]], t
 
 
 def check_foreign_keys(spark: SparkSession, source: Catalog, target: Catalog) -> CheckResult:
-    diff = _numbers(signature_difference(foreign_keys_frame(spark, source.foreign_keys), foreign_keys_frame(spark, target.foreign_keys)))
+    diff = _numbers(signature_difference(foreign_key_signatures(spark, source.foreign_keys), foreign_key_signatures(spark, target.foreign_keys)))
     orphans = sum(orphan_rows(target[k.table], k.columns, target[k.target], k.target_columns, k.match).count() for k in target.foreign_keys if k.table in target and k.target in target)
     d = {"source_foreign_keys": len(source.foreign_keys), "target_foreign_keys": len(target.foreign_keys), "missing_foreign_keys": diff["missing"], "extra_foreign_keys": diff["extra"], "unvalidated_foreign_keys": sum(not k.validated for k in target.foreign_keys), "orphan_rows": orphans}
     return CheckResult("foreign_keys", "Foreign keys are there and hold", not any(list(d.values())[2:]), d)
@@ -332,7 +341,9 @@ def verify(source: Catalog, target: Catalog, policy: Policy, mappings: DataFrame
     groups = [
         {
             "group": n,
+            "entity_type": g.entity_type,
             "columns": len(g.columns),
+            "mapping_count": counts[n]["mappings"] if n in counts else 0,
             "distinct_source": counts[n]["mappings"] if n in counts else 0,
             "distinct_target": distinct.get(n, 0),
             "null_source": sum(s_stats[c][0] for c in g.columns if c in s_stats),

@@ -39,7 +39,8 @@ class ForeignKey:
             raise PolicyError("a foreign key needs pairs of columns and a known match type")
 
     def signature(self) -> tuple:
-        return self.name, self.table, self.columns, self.target, self.target_columns, self.match
+        """The key without its name."""
+        return self.table, self.columns, self.target, self.target_columns, self.match
 
 
 @dataclass(frozen=True)
@@ -123,6 +124,11 @@ def foreign_keys_frame(spark: SparkSession, keys: tuple[ForeignKey, ...]) -> Dat
     return df.select("name", "table_name", "target", "match", F.arrays_zip("columns", "target_columns").alias("pairs"))
 
 
+def foreign_key_signatures(spark: SparkSession, keys: tuple[ForeignKey, ...]) -> DataFrame:
+    """What makes foreign keys equal: everything but their names."""
+    return foreign_keys_frame(spark, keys).drop("name")
+
+
 def foreign_key_pairs(df: DataFrame) -> DataFrame:
     """Frame of foreign_keys_frame() with one row for each pair."""
     flat = df.select("name", "table_name", "target", "match", F.posexplode("pairs").alias("place", "pair"))

@@ -6,17 +6,30 @@ put in by expressions of the key columns, the same in both dialects.
 
 from __future__ import annotations
 
+import json
+import tempfile
+import uuid
+from dataclasses import replace
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.scalars import FAMILY, GIVEN, ascii_normalized, batched_sequence, normalized, synthetic
+from .errors import GenerationError
+from .functions.numbering import checkpointed, scratch_dir
+from .functions.scalars import FAMILY, GIVEN, ascii_normalized, batched_sequence, is_digest, key_fingerprint, keyed, normalized, short_digest, synthetic
+from .operators import generate as G
 from .operators import registry as R
 from .operators import verify as V
 from .operators.keys import arrow_digester, collection_stats, distinct_keys, keyed_values
 from .operators.transform import mask_table, missing_mappings
-from .plans.catalog import Catalog, ForeignKey, KeyConstraint, foreign_key_pairs, foreign_keys_frame, keys_frame
+from .plans.catalog import Catalog, ForeignKey, KeyConstraint, foreign_key_pairs, foreign_key_signatures, foreign_keys_frame, keys_frame
 from .plans.policy import ColumnRef, Generation, Group, Policy
-from .plans.stages import before_after
+from .plans.report import benchmark, escape_cell
+from .plans.settings import redact
+from .plans.stages import Interrupted, before_after, run_masking
+from .sources.jdbc_catalog import DRIVERS
+from .sources.tables import jdbc_table, parquet_catalog, read_jsonl, write_jsonl
 
 TEST_KEY = b"cloakwork public test key, 32 B."
 PEOPLE, BATCH = "people", 25
@@ -292,7 +305,7 @@ _FKS = (
 @_query("SELECT 1 AS missing, 2 AS extra")
 def fk_signature_diff(spark, d):
     other = (_FKS[0], _FKS[1], ForeignKey("fk_l", "public.events", ("user_id",), "public.customer", ("c_custkey",), "FULL"), _FKS[0])
-    return V.signature_difference(foreign_keys_frame(spark, _FKS), foreign_keys_frame(spark, other))
+    return V.signature_difference(foreign_key_signatures(spark, _FKS), foreign_key_signatures(spark, other))
 
 
 @_query("SELECT * FROM (VALUES ('fk_o', 'public.orders', 'o_custkey', 'c_custkey', 0), ('fk_l', 'public.lineitem', 'l_partkey', 'ps_partkey', 0), ('fk_l', 'public.lineitem', 'l_suppkey', 'ps_suppkey', 1), ('fk_l', 'public.events', 'user_id', 'c_custkey', 0)) t(name, table_name, column_name, target_column, place)")
@@ -338,9 +351,9 @@ FROM (SELECT ck.c_name AS s, CASE WHEN m.rank % 19 > 0 THEN m.replacement END AS
 FROM ck LEFT JOIN m USING (h) JOIN masked USING (c_custkey))""")
 )
 def mapping_pk_aligned(spark, d):
-    raw = _customer(spark, d)
-    masked = _masked(spark, d).withColumnRenamed("c_name", "new").join(raw.select("c_custkey", "c_name"), "c_custkey").withColumn("c_name", _tamper(F.col("c_name"), F.col("new")))
-    kept = R.ranked(_keys(spark, d)).where("rank % 19 > 0").select("source_hmac").join(_mappings(spark, d), "source_hmac")
+    raw, all_mappings = _customer(spark, d), checkpointed(_mappings(spark, d))
+    masked = mask_table(raw, {"c_name": PEOPLE}, all_mappings, POLICY, _DIGESTER, "customer").withColumnRenamed("c_name", "new").join(raw.select("c_custkey", "c_name"), "c_custkey").withColumn("c_name", _tamper(F.col("c_name"), F.col("new")))
+    kept = R.ranked(_keys(spark, d)).where("rank % 19 > 0").select("source_hmac").join(all_mappings, "source_hmac")
     return V.aligned_metrics(raw, masked, ("c_custkey",), "c_name", kept, _norm())
 
 
@@ -418,9 +431,9 @@ def _checks(source: Catalog, policy: Policy) -> DataFrame:
     spark = next(iter(source.tables.values())).sparkSession
     rank = R.ranked(distinct_keys(keyed_values(source, policy, _DIGESTER)))
     new = synthetic("person_name", batched_sequence(F.col("rank"), BATCH))
-    mappings = rank.select("group_id", "source_hmac", new.alias("replacement")).withColumn("replacement_hmac", _norm()(F.col("replacement"))["digest"]).cache()
+    mappings = checkpointed(rank.select("group_id", "source_hmac", new.alias("replacement")).withColumn("replacement_hmac", _norm()(F.col("replacement"))["digest"]))
     plan = policy.by_table()
-    target = source.redeclared("masked", {n: mask_table(df, plan[n], mappings, policy, _DIGESTER, n).cache() if n in plan else df for n, df in source.tables.items()})
+    target = source.redeclared("masked", {n: checkpointed(mask_table(df, plan[n], mappings, policy, _DIGESTER, n)) if n in plan else df for n, df in source.tables.items()})
     checks, _ = V.verify(source, target, policy, mappings, _DIGESTER, source.snapshot().fingerprint)
     return spark.createDataFrame([(c.id, c.status) for c in checks], "id string, status string")
 
@@ -444,3 +457,258 @@ def seed_cycled_orders(spark, d):
     from .sources.seeds import customers, cycled_orders
 
     return cycled_orders(spark, 20000, customers(spark, 100), 100).select("id", "customer_id")
+
+
+# --- sources and sinks ---
+
+
+@_query(_with("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name FROM c"))
+def jsonl_round_trip(spark, d):
+    path = f"{scratch_dir(spark)}/jsonl-{uuid.uuid4().hex}"
+    write_jsonl(_customer(spark, d).select("c_custkey", "c_name"), path)
+    return read_jsonl(spark, path, ("c_custkey", "c_name"))
+
+
+@_query("SELECT c_custkey, c_name, c_nationkey FROM customer")
+def jdbc_round_trip(spark, d):
+    """Written to a database in memory and read from it in four ranges of the key."""
+    url, driver = f"jdbc:derby:memory:m{uuid.uuid4().hex};create=true", DRIVERS["derby"]
+    _t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey").write.format("jdbc").option("url", url).option("dbtable", "people").option("driver", driver).save()
+    got = jdbc_table(spark, url, "people", 500, {"driver": driver}, ("c_custkey", 0, 2000, 4))
+    return got.select(*[F.col(c).alias(c.lower()) for c in got.columns])
+
+
+@_query("SELECT table_name, column_name, column_name IN ('c_custkey', 's_suppkey') AS is_primary_key FROM information_schema.columns WHERE table_name IN ('customer', 'supplier')")
+def column_catalog(spark, d):
+    found = _people(spark, d).snapshot().columns
+    return spark.createDataFrame([(c.ref.table, c.ref.column, c.is_primary_key) for c in found], "table_name string, column_name string, is_primary_key boolean")
+
+
+_KIND_SQL = "CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(data_type) END"
+
+
+@_query(f"""SELECT 'key' AS what, sha256(encode('{TEST_KEY.decode()}')) AS digest UNION ALL SELECT 'schema',
+ sha256(encode('{{"columns":[' || string_agg('["public","nation","' || column_name || '","' || {_KIND_SQL} || '",null,' || CASE column_name WHEN 'n_nationkey' THEN 'true' ELSE 'false' END || ',false]', ',' ORDER BY column_name) || '],"foreign_keys":[]}}')) FROM information_schema.columns WHERE table_name = 'nation'""")
+def fingerprints(spark, d):
+    nation = Catalog(d, {"public.nation": _t(spark, d, "nation")}, (KeyConstraint("PRIMARY KEY", "public.nation", ("n_nationkey",)),))
+    return spark.createDataFrame([("key", key_fingerprint(TEST_KEY)), ("schema", nation.snapshot().fingerprint)], "what string, digest string")
+
+
+# --- predicates and texts ---
+
+
+def _applied(function, kind: str):
+    """A plain function of one text as an Arrow function."""
+    return F.pandas_udf(lambda values: values.map(function), kind)
+
+
+@_query("SELECT p_partkey FROM part WHERE length(p_name) BETWEEN 12 AND 30 AND regexp_full_match(p_name, '[A-Za-z]+( [A-Za-z#0-9]+)*')")
+def accepted_values(spark, d):
+    limits = Generation("parts", 12, 30, "[A-Za-z]+( [A-Za-z#0-9]+)*")
+    return _t(spark, d, "part").where(G.accepted(limits)("p_name")).select("p_partkey")
+
+
+@_query(_with("SELECT h AS source_hmac, substr(h, 1, 12) AS shown, regexp_full_match(h, '[0-9a-f]{64}') AS valid, regexp_full_match(upper(h), '[0-9a-f]{64}') AS valid_upper FROM k"))
+def digest_forms(spark, d):
+    h = F.col("source_hmac")
+    valid = _applied(is_digest, "boolean")
+    return _keys(spark, d).select(h, _applied(short_digest, "string")(h).alias("shown"), valid(h).alias("valid"), valid(F.upper(h)).alias("valid_upper"))
+
+
+_PLACES = ("postgresql://{0}:pw{0}@db.example:5432/x?sslmode=a", "jdbc:postgresql://db.example/x?user={0}&password=b", "host=h user={0} password='p w'", "no location {0}")
+_REDACTED = ("postgresql://***@db.example:5432/x", "jdbc:postgresql://db.example/x", "host=h user=*** password=***", "[redacted]")
+
+
+@_query(f"SELECT c_custkey, list_extract([{', '.join(repr(x) for x in _REDACTED)}], CAST(c_custkey % 4 + 1 AS INT)) AS shown FROM customer")
+def redacted_locations(spark, d):
+    texts = F.array(*[F.concat_ws("", *[F.col("c_custkey").cast("string") if i else F.lit(x) for part in [x.split("{0}")] for j, x in enumerate(part) for i in ((0, 1) if j < len(part) - 1 else (0,))]) for x in _PLACES])
+    return _t(spark, d, "customer").select("c_custkey", _applied(redact, "string")(F.get(texts, (F.col("c_custkey") % 4).cast("int"))).alias("shown"))
+
+
+@_query("SELECT c_custkey, replace(replace(replace(replace(c_name, '0', '|') || chr(92) || chr(10), chr(92), chr(92) || chr(92)), '|', chr(92) || '|'), chr(10), ' ') AS cell FROM customer")
+def escaped_cells(spark, d):
+    value = F.concat(F.replace("c_name", F.lit("0"), F.lit("|")), F.lit("\\\n"))
+    return _t(spark, d, "customer").select("c_custkey", _applied(escape_cell, "string")(value).alias("cell"))
+
+
+@_query("SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'null' WHEN 1 THEN 'invalid' WHEN 2 THEN 'invalid' ELSE 'ok' END AS phone_status, CASE c_custkey % 5 WHEN 0 THEN 'null' ELSE 'ok' END AS empty_allowed FROM customer")
+def empty_values(spark, d):
+    value = F.when(F.col("c_custkey") % 5 == 0, None).when(F.col("c_custkey") % 5 == 1, " \t").when(F.col("c_custkey") % 5 == 2, "no number").otherwise(F.col("c_custkey").cast("string"))
+    status = lambda allow: keyed(TEST_KEY, PEOPLE, "phone", allow)(value)["status"]
+    return _t(spark, d, "customer").select("c_custkey", status(False).alias("phone_status"), status(True).alias("empty_allowed"))
+
+
+# --- registry and generation, by the engine's own path ---
+
+
+@_query(_with(f"SELECT {_hmac(_norm_sql('v'))} AS replacement_hmac, count(*) AS count, 'people' AS group_id FROM (SELECT v FROM v UNION SELECT upper(v) FROM v WHERE length(v) % 2 = 0) GROUP BY ALL HAVING count(*) > 1"))
+def registry_duplicate_digests(spark, d):
+    """Replacements that are spelled apart but equal after normalisation: source values in their spellings stand in for them."""
+    values = _people(spark, d)
+    both = values["public.customer"].select(F.col("c_name").alias("v")).union(values["public.supplier"].select("s_name")).where("v is not null").distinct()
+    both = both.union(both.where("length(v) % 2 = 0").select(F.upper("v"))).distinct()
+    return R.duplicate_replacements(both.select(F.lit(PEOPLE).alias("group_id"), _norm()(F.col("v"))["digest"].alias("replacement_hmac")), "replacement_hmac").select("group_id", "replacement_hmac", "count")
+
+
+@_query(_with("SELECT 'people' AS group_id, h AS source_hmac FROM m WHERE rank % 6 = 0 AND rank % 4 = 0"))
+def registry_assigned_again(spark, d):
+    rank = R.ranked(_keys(spark, d))
+    return R.already_given(rank.where("rank % 4 = 0"), rank.where("rank % 6 = 0")).select("group_id", "source_hmac")
+
+
+class _Numbered:
+    """A provider for queries: V 1, V 2, ..., every seventh value empty."""
+
+    name, model = "numbered", "none"
+
+    def __init__(self) -> None:
+        self.last = 0
+
+    def generate(self, request: G.Request) -> list[str]:
+        numbers = range(self.last + 1, self.last + request.count + 1)
+        self.last += request.count
+        return ["" if n % 7 == 0 else f"V {n}" for n in numbers]
+
+
+def _nations(spark: SparkSession, d: str) -> R.Registry:
+    """A registry of the nations' names, filled batch by batch."""
+    reg = R.Registry(spark, f"{scratch_dir(spark)}/registry-{uuid.uuid4().hex}")
+    names = _t(spark, d, "nation").select(F.lit(PEOPLE).alias("group_id"), _norm()(F.col("n_name"))["digest"].alias("source_hmac"))
+    reg.insert(names)
+    G.ReplacementGenerator(reg, _Numbered(), TEST_KEY, 10, 2).generate_group(PEOPLE, POLICY.groups[PEOPLE])
+    return reg
+
+
+# Three batches of keys, of 10, 10 and 5: 13, 13 and 7 values are asked for.
+_BATCH_SQL = f"""WITH k AS (SELECT {_hmac(_norm_sql('n_name'))} AS h FROM nation), r AS (SELECT h, row_number() OVER (ORDER BY h) AS rank FROM k),
+asked AS (SELECT n, CASE WHEN n <= 13 THEN 0 WHEN n <= 26 THEN 1 ELSE 2 END AS batch FROM range(1, 34) t(n)),
+good AS (SELECT n, batch, row_number() OVER (PARTITION BY batch ORDER BY n) AS place FROM asked WHERE n % 7 > 0),
+used AS (SELECT n, batch, place FROM good WHERE place <= CASE batch WHEN 2 THEN 5 ELSE 10 END)"""
+
+
+@_query(_BATCH_SQL + " SELECT h AS source_hmac, 'V ' || n AS replacement FROM r JOIN used ON rank = batch * 10 + place")
+def generated_by_batches(spark, d):
+    return _nations(spark, d).frame().select("source_hmac", "replacement")
+
+
+@_query(_BATCH_SQL + " SELECT (SELECT count(DISTINCT batch) FROM asked) AS batches, (SELECT count(*) FROM used) AS accepted_items, (SELECT count(*) FROM asked) - (SELECT count(*) FROM used) AS rejected_items")
+def generation_statistics(spark, d):
+    got = R.Registry(spark, _nations(spark, d).root).stats  # as it is stored
+    return spark.createDataFrame([(got.batches, got.accepted_items, got.rejected_items)], "batches long, accepted_items long, rejected_items long")
+
+
+@_query("SELECT CAST(n AS BIGINT) AS remaining, CAST(least(1000, 50, n + greatest(2, CAST(ceil(n / 4.0) AS BIGINT))) AS BIGINT) AS asked FROM range(1, 1001) t(n)")
+def request_sizes(spark, d):
+    loop = G.ReplacementGenerator(None, None, TEST_KEY, 25)
+    return spark.createDataFrame([(n, loop.request_size(n)) for n in range(1, 1001)], "remaining long, asked long")
+
+
+@_query("""SELECT CAST(c_custkey AS BIGINT) AS c_custkey, CASE c_custkey % 5 WHEN 0 THEN 1 WHEN 1 THEN 2 END AS items FROM customer""")
+def parsed_answers(spark, d):
+    """How many values an answer holds; null for answers of another form."""
+    forms = ('{"items":[{"value":"a"}]}', '{"items":[{"value":"a"},{"value":""}]}', '{"items":[]}', '{"items":[{"value":1}]}', '{"items":[{"value":"a","more":1}]}')
+
+    def items(number: int) -> int | None:
+        try:
+            return len(G.parse_response(forms[number % 5]))
+        except GenerationError:
+            return None
+
+    return _t(spark, d, "customer").select("c_custkey", _applied(items, "long")(F.col("c_custkey")).alias("items"))
+
+
+# --- whole runs: policy, stages with a stop between, target, report ---
+
+_runs: dict[tuple[str, str], tuple[str, dict, list]] = {}
+
+
+def _run(spark: SparkSession, d: str) -> tuple[str, dict, list]:
+    """Target, report and log of a run that was stopped after generating and resumed: once for each session and folder."""
+    at = spark.sparkContext.applicationId, d
+    if at not in _runs:
+        source, target = (f"{scratch_dir(spark)}/run-{uuid.uuid4().hex}-{x}" for x in ("source", "target"))
+        for t in ("customer", "supplier", "orders"):
+            df = _t(spark, d, t)
+            (df.withColumn("c_name", F.when(F.col("c_custkey") % 53 != 0, F.col("c_name"))) if t == "customer" else df).write.parquet(f"{source}/{t}.parquet")
+        keys = tuple(KeyConstraint("PRIMARY KEY", f"public.{t}", (c,)) for t, c in (("customer", "c_custkey"), ("supplier", "s_suppkey"), ("orders", "o_orderkey")))
+        refers = (ForeignKey("fk_o", "public.orders", ("o_custkey",), "public.customer", ("c_custkey",)),)
+        opened = lambda session, place: parquet_catalog(session, place, ("customer", "supplier", "orders"), keys, refers)
+        policy = replace(POLICY, run_directory=tempfile.mkdtemp(prefix="cloakwork-run-"))  # state and report of this driver program
+        env = {policy.source_env: source, policy.target_env: target, policy.key_env: TEST_KEY.decode()}
+        try:
+            run_masking(spark, policy, env, opened, "query", stop_after=("generate",))
+        except Interrupted:
+            report = run_masking(spark, policy, env, opened, "query", resume=True)
+        log = [json.loads(line) for line in (Path(policy.run_directory) / "query" / "run.jsonl").read_text().splitlines()]
+        _runs[at] = target, report.document(), log
+    return _runs[at]
+
+
+_RUN_CTE = f"""p AS (SELECT * REPLACE (CASE WHEN c_custkey % 53 <> 0 THEN c_name END AS c_name) FROM customer),
+n AS (SELECT c_name AS v FROM p WHERE c_name IS NOT NULL UNION SELECT s_name FROM supplier), g AS (SELECT DISTINCT {_hmac(_norm_sql('v'))} AS h FROM n),
+o AS (SELECT h, row_number() OVER (ORDER BY h) AS n FROM g), a AS (SELECT h, {_name_sql('n')} AS replacement FROM o)"""
+
+
+@_query(f"WITH {_RUN_CTE} SELECT p.* REPLACE (a.replacement AS c_name) FROM p LEFT JOIN a ON a.h = {_hmac(_norm_sql('c_name'))}")
+def run_masked_customer(spark, d):
+    """A table of the target that a whole run published: replacements are numbered by the engine."""
+    return spark.read.parquet(f"{_run(spark, d)[0]}/customer.parquet")
+
+
+@_query("SELECT 'public.' || t AS name, n AS source_rows, n AS target_rows, TRUE AS row_count_equal FROM (SELECT 'customer' AS t, count(*) AS n FROM customer UNION ALL SELECT 'supplier', count(*) FROM supplier UNION ALL SELECT 'orders', count(*) FROM orders)")
+def run_report_tables(spark, d):
+    rows = [(t["table"], t["source_rows"], t["target_rows"], t["row_count_equal"]) for t in _run(spark, d)[1]["tables"]]
+    return spark.createDataFrame(rows, "name string, source_rows long, target_rows long, row_count_equal boolean")
+
+
+@_query(f"WITH {_RUN_CTE} SELECT 'people' AS id, 'person_name' AS entity_type, (SELECT count(*) FROM g) AS mapping_count, (SELECT count(*) FROM a) AS distinct_target, (SELECT count(*) FROM p WHERE c_name IS NULL) AS nulls_source, (SELECT count(*) FROM p WHERE c_name IS NULL) AS nulls_target")
+def run_report_groups(spark, d):
+    rows = [(g["group"], g["entity_type"], g["mapping_count"], g["distinct_target"], g["null_source"], g["null_target"]) for g in _run(spark, d)[1]["groups"]]
+    return spark.createDataFrame(rows, "id string, entity_type string, mapping_count long, distinct_target long, nulls_source long, nulls_target long")
+
+
+@_query(f"WITH {_RUN_CTE} SELECT (SELECT count(*) FROM customer) + (SELECT count(*) FROM supplier) + (SELECT count(*) FROM orders) AS rows, (SELECT count(*) FROM g) AS mappings, (SELECT count(*) FROM g) AS accepted_items, 5 AS stages")
+def run_benchmark(spark, d):
+    _, report, log = _run(spark, d)
+    got = benchmark(report, log, 1)
+    return spark.createDataFrame([(got["rows"], got["mappings"], got["accepted_items"], len(got["stage_seconds"]))], "rows long, mappings long, accepted_items long, stages long")
+
+
+# --- every check's counters on a copy with known defects ---
+
+_COPY = """ts AS (SELECT * FROM s), tc AS (SELECT masked.* REPLACE (CASE WHEN c_custkey % 31 = 0 THEN 'Wrong' WHEN c_custkey % 37 = 0 THEN NULL WHEN c_custkey % 41 = 0 THEN c.c_name ELSE masked.c_name END AS c_name) FROM masked JOIN c USING (c_custkey)),
+t_o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 0 THEN -1 ELSE o_custkey END AS o_custkey FROM orders WHERE o_orderkey % 50 > 0),
+pairs AS (SELECT c.c_name AS sv, m.replacement AS r, tc.c_name AS tv FROM ck AS c LEFT JOIN m USING (h) JOIN tc USING (c_custkey) UNION ALL SELECT x.s_name, m.replacement, ts.s_name FROM (SELECT s.*, {hmac} AS h FROM s) x LEFT JOIN m USING (h) JOIN ts USING (s_suppkey)),
+left_in AS (SELECT DISTINCT {hmac_tv} AS h FROM pairs WHERE tv IS NOT NULL),
+so AS (SELECT o_orderkey AS k, row_number() OVER (ORDER BY o_orderkey) AS p FROM orders), tp AS (SELECT o_orderkey AS k, row_number() OVER (ORDER BY o_orderkey) AS p FROM t_o)""".format(hmac=_hmac(_norm_sql("s_name")), hmac_tv=_hmac(_norm_sql("tv")))
+
+
+@_query(f"""WITH {_CTE}, {_COPY}
+SELECT 'table_row_counts' AS id, 'mismatched_tables' AS counter, CAST((SELECT count(*) FROM orders) <> (SELECT count(*) FROM t_o) AS BIGINT) AS value
+UNION ALL SELECT 'schema_columns_types', 'extra_target_columns', 0
+UNION ALL SELECT 'configured_column_statistics', 'null_mismatches', CAST((SELECT count(*) FROM c WHERE c_name IS NULL) <> (SELECT count(*) FROM tc WHERE c_name IS NULL) AS BIGINT)
+UNION ALL SELECT 'configured_column_statistics', 'distinct_mismatches', CAST((SELECT count(DISTINCT c_name) FROM c) <> (SELECT count(DISTINCT c_name) FROM tc) AS BIGINT)
+UNION ALL SELECT 'foreign_keys', 'orphan_rows', (SELECT count(*) FROM t_o WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM tc))
+UNION ALL SELECT 'primary_unique_constraints', 'primary_key_value_mismatches', (SELECT count(*) FROM so FULL JOIN tp USING (p) WHERE so.k IS DISTINCT FROM tp.k)
+UNION ALL SELECT 'primary_unique_constraints', 'duplicate_key_groups', (SELECT count(*) FROM (SELECT o_orderkey FROM t_o GROUP BY ALL HAVING count(*) > 1))
+UNION ALL SELECT 'configured_mappings', 'rows_checked', (SELECT count(*) FROM pairs)
+UNION ALL SELECT 'configured_mappings', 'mapping_mismatches', (SELECT count(*) FROM pairs WHERE sv IS NOT NULL AND tv <> r)
+UNION ALL SELECT 'configured_mappings', 'null_mismatches', (SELECT count(*) FROM pairs WHERE (sv IS NULL) <> (tv IS NULL))
+UNION ALL SELECT 'configured_mappings', 'unchanged_values', (SELECT count(*) FROM pairs WHERE sv = tv)
+UNION ALL SELECT 'source_target_hmac_nonintersection', 'intersection_keys', (SELECT count(*) FROM left_in WHERE h IN (SELECT h FROM k))
+UNION ALL SELECT 'no_single_placeholder', 'collapsed_columns', CAST((SELECT count(DISTINCT c_name) FROM tc) <= 1 AS BIGINT) + CAST((SELECT count(DISTINCT s_name) FROM ts) <= 1 AS BIGINT)""")
+def verification_counters(spark, d):
+    """What the checks count on a copy whose suppliers were not masked, with tampered customers and lost orders."""
+    mappings = checkpointed(_mappings(spark, d))
+    c, o = _customer(spark, d), _t(spark, d, "orders").select("o_orderkey", "o_custkey")
+    keys = tuple(KeyConstraint("PRIMARY KEY", f"public.{t}", (k,)) for t, k in (("customer", "c_custkey"), ("supplier", "s_suppkey"), ("orders", "o_orderkey")))
+    refers = (ForeignKey("fk_o", "public.orders", ("o_custkey",), "public.customer", ("c_custkey",)),)
+    source = Catalog(d, {"public.customer": c, "public.supplier": _supplier(spark, d), "public.orders": o}, keys, refers)
+    masked = mask_table(c, {"c_name": PEOPLE}, mappings, POLICY, _DIGESTER, "customer").withColumnRenamed("c_name", "new").join(c.select("c_custkey", "c_name"), "c_custkey")
+    spoiled = masked.withColumn("c_name", _tamper(F.col("c_name"), F.col("new"))).select(*c.columns)
+    lost = o.where("o_orderkey % 50 > 0").withColumn("o_custkey", F.when(F.col("o_orderkey") % 97 == 0, F.lit(-1).cast(o.schema["o_custkey"].dataType)).otherwise(F.col("o_custkey")))
+    target = source.redeclared("copy", {"public.customer": checkpointed(spoiled), "public.supplier": _supplier(spark, d), "public.orders": lost})
+    checks, _ = V.verify(source, target, POLICY, mappings, _DIGESTER, source.snapshot().fingerprint)
+    told = ("mismatched_tables", "extra_target_columns", "distinct_mismatches", "orphan_rows", "primary_key_value_mismatches", "duplicate_key_groups", "rows_checked", "mapping_mismatches", "null_mismatches", "unchanged_values", "intersection_keys", "collapsed_columns")
+    rows = [(x.id, k, int(v)) for x in checks for k, v in x.details.items() if k in told]
+    return spark.createDataFrame(rows, "id string, counter string, value long")

@@ -546,6 +546,149 @@ def test_stream(spark, masked, tmp_path):
     assert "Somebody" not in str(e.value)
 
 
+def test_registry_survives_a_crash_between_its_steps(spark, tmp_path, monkeypatch):
+    """Rows that were written but not put in force don't count; a registry whose pointer is gone is refused, not taken for a new one."""
+    from cloakwork.operators import registry as module
+
+    root = str(tmp_path / "reg")
+    reg = Registry(spark, root)
+    reg.initialise(meta())
+    reg.insert(keys_of(spark, "g", "a", "b"))
+    reg.assign(given_of(spark, "g", a="one"))
+
+    def crash(*_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as m:
+        m.setattr(module, "write_json_document", crash)
+        with pytest.raises(OSError):
+            reg.insert(keys_of(spark, "g", "c"))
+        with pytest.raises(OSError):
+            reg.assign(given_of(spark, "g", b="two"))
+    again = Registry(spark, root)
+    assert again.metadata == meta() and again.count("g") == 2 and again.count("g", assigned_only=True) == 1 == reg.count("g", assigned_only=True)
+    again.assign(given_of(spark, "g", b="three"))
+    assert Registry(spark, root).lookup("g", digest(KEY, "g", "b")) == "three"
+    (tmp_path / "reg" / "CURRENT").unlink()
+    with pytest.raises(RegistryError):
+        Registry(spark, root)
+
+
+def test_registry_adds_only_its_batches(spark, tmp_path, monkeypatch):
+    from cloakwork.operators import registry as module
+
+    monkeypatch.setattr(module, "MOST_PARTS", 3)
+    reg = Registry(spark, str(tmp_path / "reg"))
+    reg.insert(keys_of(spark, "g", *"abcdef"))
+    for i, k in enumerate("abcde"):
+        reg.assign(given_of(spark, "g", **{k: f"new {i}"}))
+        rows = spark.read.parquet(f"{reg.root}/{reg.parts['given'][-1]}").count()
+        assert rows == (4 if i == 3 else 1) and len(reg.parts["given"]) <= 3
+    assert reg.count("g", True) == 5 and Registry(spark, reg.root).count("g", True) == 5
+
+
+def test_interrupted_publication_keeps_the_earlier_target(spark, tmp_path):
+    from cloakwork.sources.tables import recover
+
+    c, target = demo(spark, str(tmp_path / "src")), tmp_path / "dst"
+    publish(c, c.tables, str(target), jobs=2)
+    target.rename(tmp_path / "dst.previous")
+    recover(spark, str(target))
+    assert spark.read.parquet(f"{target}/orders.parquet").count() == 180 and not (tmp_path / "dst.previous").exists()
+
+
+def test_renamed_foreign_key_is_the_same_key(spark, masked):
+    _, source, _, target, _ = masked
+    renamed = Catalog("t", target.tables, target.keys, (replace(target.foreign_keys[0], name="other"),))
+    assert V.check_foreign_keys(spark, source, renamed).passed
+    assert not V.check_foreign_keys(spark, source, Catalog("t", target.tables, target.keys, (replace(target.foreign_keys[0], match="FULL"),))).passed
+
+
+def test_a_conflict_in_the_registry_is_retried(spark, tmp_path, monkeypatch):
+    reg, provider, loop = loop_for(spark, tmp_path, [["one", "two"], GenerationError("x"), ["three", "four"]], "a", "b")
+    assign, failed = reg.assign, []
+
+    def once(*args):
+        if not failed:
+            failed.append(1)
+            raise RegistryConflict("taken meanwhile")
+        assign(*args)
+
+    monkeypatch.setattr(reg, "assign", once)
+    loop.generate_group("names", policy().groups["names"])
+    assert reg.count("names", True) == 2 and reg.stats.batches == 3 and len(provider.requests) == 3
+
+
+def test_no_raw_value_in_shuffle_files(spark, masked, tmp_path):
+    """Masking and the checks shuffle digests: a marker among the values is in no exchange's rows."""
+    p, source, mappings, target, d = masked
+    plans = []
+    for c in ("full_name", "email"):
+        plans.append(mask_table(source["public.customers"], {c: p.group_of(ColumnRef("public", "customers", c))}, mappings, p, d))
+        mine = mappings.where(F.col("group_id") == p.group_of(ColumnRef("public", "customers", c)))
+        plans.append(V.aligned_metrics(source["public.customers"], target["public.customers"], ("id",), c, mine, d(p.group_of(ColumnRef("public", "customers", c)), "email" if c == "email" else "human_text", False, False)))
+        plans.append(V.column_statistics(source["public.customers"], [c]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for df in plans:
+            for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines():
+                left = line.split("Project [")
+                assert "Join" not in line or not any(f"{c}#" in line for c in ("full_name", "email")), line
+                assert len(left) < 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    import re
+
+    for df in plans:
+        text = df._jdf.queryExecution().executedPlan().toString()
+        for exchange in re.split(r"(?=Exchange)", text)[1:]:
+            below = exchange.splitlines()[1] if len(exchange.splitlines()) > 1 else ""
+            assert not re.search(r"Project \[[^\]]*\b(full_name|email)#", below), exchange[:400]
+
+
+def test_database_as_source_and_target(spark, tmp_path, monkeypatch):
+    """A run over JDBC from the command line: introspected, masked, loaded with its keys, checked, and checked again."""
+    from cloakwork.sources.jdbc_catalog import DRIVERS, Database, driver_of, foreign_details, jdbc_address, jdbc_catalog
+
+    src, dst = f"jdbc:derby:{tmp_path}/src;create=true", f"jdbc:derby:{tmp_path}/dst;create=true"
+    with Database(spark, src, DRIVERS["derby"]) as db:
+        db.run(
+            "create table PEOPLE (ID bigint not null primary key, FULL_NAME varchar(100), MAIL varchar(120) not null unique)",
+            "create table ORDERS (ID bigint not null primary key, PERSON bigint, BILLING varchar(100), constraint ORDERS_PERSON foreign key (PERSON) references PEOPLE (ID))",
+            *[f"insert into PEOPLE values ({i}, 'Person No{i}', 'p{i}@x.test')" for i in range(1, 21)],
+            *[f"insert into ORDERS values ({i}, {i % 20 + 1}, 'Person No{i % 20 + 1}')" for i in range(1, 41)],
+        )
+    limits = {"description": "made up", "min_length": 1, "max_length": 60}
+    group = lambda kind, norm, *cols: {"entity_type": kind, "locale": "en", "normalization": norm, "generation": dict(limits), "columns": list(cols)}
+    raw = {"version": 1, "run": {"allow_target_recreate": True, "directory": str(tmp_path / "runs"), "collector_fetch_size": 7}, "output": {"parallel_jobs": 2}, "groups": {"names": group("person_name", "human_text", "APP.PEOPLE.FULL_NAME", "APP.ORDERS.BILLING"), "mails": group("email", "email", "APP.PEOPLE.MAIL")}}
+    (tmp_path / "policy.yaml").write_text(yaml.safe_dump(raw))
+    for k, v in {"SOURCE_DSN": src, "TARGET_DSN": dst, "MAPPING_HMAC_KEY": KEY.decode()}.items():
+        monkeypatch.setenv(k, v)
+    assert main(["run", "--policy", str(tmp_path / "policy.yaml"), "--run-id", "db"]) == 0
+    assert main(["verify", "--policy", str(tmp_path / "policy.yaml"), "--run-id", "db"]) == 0
+    got = jdbc_catalog(spark, dst, DRIVERS["derby"])
+    assert got["APP.ORDERS"].count() == 40 and got["APP.PEOPLE"].where("FULL_NAME like 'Person%'").count() == 0
+    assert [k.columns for k in got.foreign_keys] == [("PERSON",)] and got.primary_key("APP.PEOPLE").columns == ("ID",)
+    doc = json.loads((tmp_path / "runs/db/report.json").read_text())
+    assert all(t["row_count_equal"] for t in doc["tables"]) and {g["entity_type"] for g in doc["groups"]} == {"person_name", "email"} and set(doc["artifacts"]) == {"target", "plan", "registry", "markdown_report"}
+    assert jdbc_address("postgresql://me:p%40w@h:5433/db") == ("jdbc:postgresql://h:5433/db", {"user": "me", "password": "p@w"})
+    assert foreign_details([("s", "t", "k", "f", "t"), ("s", "t", "l", "s", "f")]) == {("s", "t", "k"): ("FULL", True), ("s", "t", "l"): ("SIMPLE", False)}
+    with pytest.raises(PolicyError):
+        driver_of("jdbc:unheard:of")
+
+
+def test_benchmark_rollup():
+    from cloakwork.plans.report import benchmark
+
+    doc = report_of([V.CheckResult("a", "A", True)]).document()
+    log = [{"stage": s, "event": "stage_done", "at": f"2026-01-01T00:00:0{i}+00:00"} for i, s in enumerate(("inspect", "collect", "generate", "plan", "transform", "verify"))]
+    got = benchmark(doc, log, 5)
+    assert got["stage_seconds"] == {"collect": 1, "generate": 1, "plan": 1, "transform": 1, "verify": 1} and got["transform_rows_per_second"] == 5
+    for bad in ((doc, log[:-1], 5), (doc, log, 6), (doc | {"generation": {"accepted_items": 1}}, log, 5)):
+        with pytest.raises(Exception):
+            benchmark(*bad)
+
+
 def test_query_registry_needs_no_corpus_package():
     """The other queries stand without the optional subpackage."""
     import subprocess
