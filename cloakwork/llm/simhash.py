@@ -18,6 +18,7 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -30,8 +31,12 @@ from .common import buffers, counted, materialize, shingles, small_batches, word
 
 TERM_WORDS = 3
 RADIUS, BLOCKS = 3, 5
-#: Most buckets of ids; each is sorted outside memory if need be.
-MOST_BUCKETS = 1024
+#: Terms whose votes are added up in one go.
+TERMS = 8192
+#: A bucket's aim in bytes of the input as Spark estimates it, and the most buckets; each is sorted outside memory if need be.
+BUCKET_BYTES, MOST_BUCKETS = 64 << 20, 1 << 16
+#: Bounds of buckets are looked up in two steps, among the first of so many and then among these.
+_FAN = 256
 
 
 def fingerprints(texts: pa.Array, k: int = TERM_WORDS) -> np.ndarray:
@@ -41,16 +46,16 @@ def fingerprints(texts: pa.Array, k: int = TERM_WORDS) -> np.ndarray:
     while a < len(texts):
         b = min(len(texts), max(a + 1, int(np.searchsorted(offs, offs[a] + (1 << 18), "right")) - 1))
         terms, counts, at = counted(*shingles(*words(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a]), k))
-        weight = np.rint(64 * (1 + np.log2(counts))).astype(np.int32)
-        votes = np.zeros((b - a, 64), np.int64)
-        owner = np.repeat(np.arange(b - a), np.diff(at))
-        for lo in range(0, len(terms), 1 << 14):  # a long text comes in parts
-            part = slice(lo, lo + (1 << 14))
-            signed = np.unpackbits(terms[part].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).astype(np.int32)
-            signed = (2 * signed - 1) * weight[part, None]
-            first = np.flatnonzero(np.diff(owner[part], prepend=-1))
-            votes[owner[part][first]] += np.add.reduceat(signed, first, axis=0)
-        out[a:b] = np.packbits(votes > 0, axis=1).view(">u8").reshape(-1).astype(np.uint64)
+        weight = np.rint(64 * (1 + np.log2(counts))).astype(np.float32)
+        for i, (lo, hi) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
+            # Sums of whole numbers below 2^24 are exact in 32-bit floats: so many terms' weights stay below.
+            votes, every = np.zeros(64, np.int64), 0
+            for x in range(lo, hi, TERMS):
+                part = slice(x, min(x + TERMS, hi))
+                bits = np.unpackbits(terms[part].astype(">u8").view(np.uint8)).reshape(-1, 64)
+                votes += (weight[part] @ bits.astype(np.float32)).astype(np.int64)
+                every += int(weight[part].sum(dtype=np.float64))
+            out[a + i] = np.packbits(2 * votes > every).view(">u8")[0]
         a = b
     return out
 
@@ -65,6 +70,18 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return 1 - np.bitwise_count(a ^ b) / 64
 
 
+def bucket_of(x: Column, bounds: list[int]) -> Column:
+    """Number of bounds (sorted) that are x or less."""
+    if not bounds:
+        return F.lit(0)
+    # One constant each, however many bounds there are.
+    runs = F.from_json(F.lit(json.dumps([bounds[i : i + _FAN] for i in range(0, len(bounds), _FAN)])), "array<array<bigint>>")
+    heads = F.from_json(F.lit(json.dumps(bounds[::_FAN])), "array<bigint>")
+    below = lambda xs: F.size(F.filter(xs, lambda b: b <= x))
+    run = below(heads) - 1
+    return F.when(x < bounds[0], 0).otherwise(run * _FAN + below(F.get(runs, run)))
+
+
 def _in_order(docs: DataFrame) -> DataFrame:
     """Rows (id, text) in partitions such that each row's successor by descending id follows it in its partition.
 
@@ -72,9 +89,10 @@ def _in_order(docs: DataFrame) -> DataFrame:
     the end of the bucket before, as a marker, and the very first row to the end of the last bucket.
     """
     spark = docs.sparkSession
-    wanted = min(MOST_BUCKETS, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    estimate = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = max(2, min(MOST_BUCKETS, max(estimate // BUCKET_BYTES, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     bounds = sorted({int(x) for x in docs.select("id").where("id is not null").approxQuantile("id", [i / wanted for i in range(1, wanted)], 0.2 / wanted)})
-    bucket = F.size(F.filter(F.array(*[F.lit(x) for x in bounds]).cast("array<long>"), lambda x: x <= F.col("id"))) if bounds else F.lit(0)
+    bucket = bucket_of(F.col("id"), bounds)
     # Without an id a row is in the last bucket, which is number 0.
     placed = docs.withColumns({"none": F.col("id").isNull(), "tie": F.xxhash64("text"), "bucket": F.when(F.col("id").isNull(), 0).otherwise(bucket)})
     order = F.struct("none", F.bitwise_not("id").alias("down"), "tie")
@@ -102,7 +120,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
             own = [i for i in range(len(ids) - 1) if copies[i] == 0 and places[i] == places[i + 1]]
             changed = [edited(texts[i], texts[i + 1]) for i in own]
             raw = [x.encode() for x in changed]
-            after = fingerprints(pa.array(changed, pa.large_string()), k)
+            after = fingerprints(pa.array(raw, pa.large_binary()).view(pa.large_string()), k)
             mine, following = prints[own], prints[[i + 1 for i in own]]
             cols = [pa.array([ids[i] for i in own], pa.int64()), pa.array([len(texts[i]) for i in own], pa.int64()), pa.array([f"{x:016x}" for x in mine.tolist()], pa.string()), pa.array([hashlib.sha256(x).hexdigest() for x in raw], pa.string()), pa.array([f"{x:016x}" for x in after.tolist()], pa.string()), pa.array(likeness(mine, after)), pa.array(likeness(mine, following)), pa.array(mine.view(np.int64))]
             return pa.RecordBatch.from_arrays(cols, ["id", "n_chars", "fingerprint", "edited_sha256", "edited_fingerprint", "near_edited", "near_next", "bits"])

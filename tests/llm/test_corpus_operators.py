@@ -485,6 +485,36 @@ def test_ties_and_nulls_in_order(spark):
     assert simhash.fingerprint_documents(spark.createDataFrame(rows, SCHEMA)).count() == 5
 
 
+def test_buckets_of_ids(spark):
+    import bisect
+
+    rng = random.Random(5)
+    for bounds in ([], [7], sorted(rng.sample(range(-(10**6), 10**6), 2000)), list(range(0, 512, 2))):
+        ids = [rng.randint(-(10**6), 10**6) for _ in range(300)] + bounds[:20] + bounds[-3:] + [-(1 << 63), (1 << 63) - 1]
+        got = spark.createDataFrame([(i,) for i in ids], "id long").select("id", simhash.bucket_of(F.col("id"), bounds).alias("b")).collect()
+        assert all(r["b"] == bisect.bisect_right(bounds, r["id"]) for r in got)
+
+
+def test_votes_of_long_texts_are_exact(monkeypatch):
+    """Votes added up in parts are those of one sum."""
+    rng = random.Random(12)
+    texts = pa.array([prose(rng, 3000) + " same three words" * 500, "", "a b"])
+    whole = simhash.fingerprints(texts)
+    monkeypatch.setattr(simhash, "TERMS", 64)
+    assert (simhash.fingerprints(texts) == whole).all()
+
+
+def test_counts_of_neighbours_as_brute_force(spark):
+    """n_near of ids divisible by `every` counts all other documents within the radius, copies and the id's own repeats too."""
+    rng = random.Random(13)
+    base = [rng.getrandbits(64) for _ in range(12)]
+    bits = [b ^ sum(1 << x for x in rng.sample(range(64), rng.randint(0, 5))) for b in base for _ in range(6)] + base[:3]
+    rows = [(i if i != 40 else None, p - (1 << 64) if p >> 63 else p) for i, p in enumerate(bits)]
+    got = simhash.with_neighbours(spark.createDataFrame(rows, "id long, bits long"), every=5).collect()
+    want = {i: sum(bin(p ^ q).count("1") <= 3 for q in bits) - 1 for i, p in enumerate(bits) if i % 5 == 0 and i != 40}
+    assert len(got) == len(rows) and {r["id"]: r["n_near"] for r in got if r["n_near"] is not None} == want
+
+
 def test_order_of_extreme_ids(spark):
     ids = [-(1 << 63), -1, 0, (1 << 63) - 1, None]
     got = simhash.fingerprint_documents(spark.createDataFrame([(i, f"text {i}", None, None, 0) for i in ids], SCHEMA)).collect()
