@@ -91,7 +91,7 @@ def _in_order(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     estimate = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     wanted = max(2, min(MOST_BUCKETS, max(estimate // BUCKET_BYTES, int(spark.conf.get("spark.sql.shuffle.partitions")))))
-    bounds = sorted({int(x) for x in docs.select("id").where("id is not null").approxQuantile("id", [i / wanted for i in range(1, wanted)], 0.2 / wanted)})
+    bounds = sorted({min(int(x), (1 << 63) - 1) for x in docs.select("id").where("id is not null").approxQuantile("id", [i / wanted for i in range(1, wanted)], 0.2 / wanted)})
     bucket = bucket_of(F.col("id"), bounds)
     # Without an id a row is in the last bucket, which is number 0.
     placed = docs.withColumns({"none": F.col("id").isNull(), "tie": F.xxhash64("text"), "bucket": F.when(F.col("id").isNull(), 0).otherwise(bucket)})
