@@ -29,8 +29,8 @@ from .common import buffers, components, counted, free_name, materialize, mix, s
 SHINGLE, THRESHOLD = 5, 0.8
 #: At similarity 0.8 a pair shares none of 36 bands of 6 values with probability 2e-5.
 BANDS, BAND_ROWS = 36, 6
-#: Pairs across components whose signatures suggest a similarity of so many standard errors below the threshold are no candidates.
-ERRORS = 3.0
+#: Pairs across components whose signatures suggest a similarity of so many standard errors below the threshold are no candidates: a pair at exactly the threshold is lost with less than 1e-6.
+ERRORS = 5.0
 
 _U = np.uint64
 
