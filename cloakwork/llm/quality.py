@@ -104,6 +104,17 @@ def relevance(index: np.ndarray, at: np.ndarray, grades: np.ndarray) -> np.ndarr
     return out
 
 
+def ordered(t: np.ndarray) -> np.ndarray:
+    """The nearest thresholds in order: those in disorder become their mean, so that a grade without ratings pulls neither up nor down."""
+    blocks: list[list[float]] = []
+    for x in t.tolist():
+        blocks.append([x, 1])
+        while len(blocks) > 1 and blocks[-2][0] > blocks[-1][0]:
+            (a, m), (b, n) = blocks[-2:]
+            blocks[-2:] = [[(a * m + b * n) / (m + n), m + n]]
+    return np.repeat([b for b, _ in blocks], [n for _, n in blocks])
+
+
 def fit(index: np.ndarray, value: np.ndarray, at: np.ndarray, grades: np.ndarray, epochs: int = 40, rate: float = 0.3, decay: float = 1e-5, seed: int = 7) -> Model:
     """Minimise the cumulative-link log loss by AdaGrad over seeded batches of 64 texts."""
     top = int(grades.max()) if len(grades) else 0
@@ -137,7 +148,7 @@ def fit(index: np.ndarray, value: np.ndarray, at: np.ndarray, grades: np.ndarray
             w[feats] -= rate * grad / np.sqrt(gw[feats])
             grad_t = (np.bincount(g, dlo, minlength=top + 1)[1:] - np.bincount(g, dhi, minlength=top + 1)[:top]) / len(some)
             gt += grad_t**2
-            t = np.maximum.accumulate(t - rate * grad_t / np.sqrt(gt))
+            t = ordered(t - rate * grad_t / np.sqrt(gt))
     return Model(w * scale, t)
 
 

@@ -5,6 +5,7 @@ import math
 import random
 import re
 import time
+import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -847,6 +848,120 @@ def test_one_changed_slot_leaves_the_other_runs(spark):
     assert got[0, 1]["matched"] == whole["windows"] - 5 and got[0, 1]["longest"] == 25 - 4 and got[3, 2]["longest"] == 39 - 4 - 10
 
 
+def plain_template(text: str) -> list[tuple[str, str]]:
+    """Template words, read character by character: (kind, value), kind '' for a plain word."""
+    letter = lambda c: unicodedata.category(c)[0] in "LM"
+    digit = lambda c: unicodedata.category(c) == "Nd"
+    out, i, n = [], 0, len(text)
+    while i < n:
+        j = i
+        if digit(text[i]):
+            while j < n and (digit(text[j]) or text[j] in ".," and j + 1 < n and digit(text[j + 1])):
+                j += 1
+            out.append(("number", text[i:j]))
+        elif letter(text[i]):
+            while j < n and letter(text[j]):
+                j += 1
+            before = text[i - 2] if i > 1 and text[i - 1] == " " else "."
+            named = unicodedata.category(text[i]) == "Lu" and j - i > 1 and (unicodedata.category(before) in ("Ll", "Nd") or before in ",;")
+            word = text[i:j].lower()
+            out.append(("name" if named else "unit" if out and out[-1][0] == "number" and word in decontamination.UNITS and not named else "", word))
+        i = max(j, i + 1)
+    return out
+
+
+def brute_leaks(texts: dict, items: dict) -> dict:
+    """(doc, item) to (matched, windows, longest), every run of one against every run of the other."""
+
+    def runs(text):
+        words = plain_template(text or "")
+        for at in range(len(words) - 4):
+            w = words[at : at + 5]
+            literal = sum(not kind for kind, _ in w) >= 3
+            yield at, tuple((k, "" if k and literal else v) for k, v in w), literal, [(k, v) for k, v in w if k and literal]
+
+    out = {}
+    for i, item in items.items():
+        mine = list(runs(item))
+        every, lit = {k for _, k, _, _ in mine}, {k for _, k, literal, _ in mine if literal}
+        for d, text in texts.items():
+            lines = defaultdict(dict)
+            for p, key, literal, slots in runs(text):
+                for q, other, _, theirs in mine:
+                    if key == other:
+                        lines[p - q][q] = key, literal, list(dict.fromkeys(zip(theirs, slots)))
+            keys, best = set(), 0
+            for line in lines.values():
+                pairs = {v for _, _, ps in line.values() for v in ps}
+                usual = pairs
+                if len({x for x, _ in pairs}) < len(pairs):
+                    most = {v for v in pairs if 2 * sum(v in ps for *_, ps in line.values()) > sum(any(x == v[0] for x, _ in ps) for *_, ps in line.values())}
+                    usual = most | {v for v in pairs if v[0] == v[1] and v[0] not in {x for x, _ in most}}
+                held = {q: key for q, (key, _, ps) in line.items() if all(v in usual for v in ps) or all(x == y for x, y in ps)}
+                keys |= set(held.values())
+                for q in held:
+                    length = 0
+                    while q + length in held:
+                        length += 1
+                    best = max(best, length)
+            if keys and (len(keys) >= 0.8 * len(every) or keys & lit and len(keys & lit) >= 0.8 * len(lit) or best >= 9):
+                out[d, i] = len(keys), len(every), best
+    return out
+
+
+def leaky_texts(rng: random.Random, items: list[str], count: int) -> list[str]:
+    """Texts around passages of the items, some with their numbers and names changed, alike or apart."""
+    out = []
+    for _ in range(count):
+        item = rng.choice(items).split()
+        a = rng.randint(0, max(0, len(item) - 6))
+        part = item[a : a + rng.randint(5, 40)] if rng.random() < 0.6 else list(item)
+        table: dict[str, str] = {}
+        for i, w in enumerate(part):
+            if w[0].isdigit() or w[0].isupper() and i:
+                if rng.random() < 0.7:
+                    other = str(rng.randint(2, 99)) if w[0].isdigit() else rng.choice(("Clara", "Denis", "Fedor"))
+                    part[i] = table.setdefault(w, other) if rng.random() < 0.8 else other
+            elif rng.random() < 0.04:
+                part[i] = "changed"
+        out.append(f"{prose(rng, rng.randint(0, 8))} {' '.join(part)} {prose(rng, rng.randint(0, 8))}")
+    return out
+
+
+def test_leaks_as_brute_force(spark):
+    rng = random.Random(31)
+    words = "the old mill near river has many apples and gives some to each child while they wait for rain".split()
+    items = [
+        " ".join(rng.choice(words) if (x := rng.random()) < 0.75 else str(rng.randint(2, 40)) if x < 0.85 else rng.choice(("Anna", "Boris", "km", "12 kg", "3.5")) for _ in range(rng.randint(5, 34)))
+        for _ in range(14)
+    ]
+    texts = leaky_texts(rng, items, 150) + [prose(rng, 30), "", "x 1,200 y", items[0], items[0].upper()]
+    got = {(r["doc_id"], r["item_id"]): (r["matched"], r["windows"], r["longest"]) for r in decontamination.leaks(frame(spark, texts), spark.createDataFrame([*enumerate(items)], "item_id long, text string")).collect()}
+    want = brute_leaks(dict(enumerate(texts)), dict(enumerate(items)))
+    assert got == want and len({d for d, _ in got}) > 60
+
+
+def test_recall_of_reparameterised_items(spark):
+    """Items whose numbers and names are all replaced, each by one other: found, within other text; the same with slots mixed up: few."""
+    rng = random.Random(32)
+    items = [f"{name} buys {a} pens and {b} books at the small shop in town, then {name} gives {b} books to a friend and walks {c} km home. How many things does {name} still have when the {kind} begins?" for name, a, b, c, kind in zip(["Anna", "Boris", "Carla", "Denis"] * 5, range(11, 31), range(41, 61), range(71, 91), ["evening", "lesson", "summer", "party"] * 5)]
+    swap = lambda text, f: re.sub(r"(?<=[a-z,] )[A-Z][a-z]+|\d+", f, text)
+    clean, mixed = [], []
+    for t in items:
+        table: dict[str, str] = {}
+        clean.append(f"{prose(rng, 20)} so {swap(t, lambda m: table.setdefault(m[0], str(rng.randint(100, 999)) if m[0].isdigit() else 'Quentin'))} {prose(rng, 20)}")
+        mixed.append(f"{prose(rng, 20)} so {swap(t, lambda m: str(rng.randint(100, 999)) if m[0].isdigit() else rng.choice(('Quentin', 'Rosa', 'Sven', 'Tina', 'Uwe')))} {prose(rng, 20)}")
+    found = {r["doc_id"] for r in decontamination.leaks(frame(spark, clean + mixed + [prose(rng, 200) for _ in range(20)]), spark.createDataFrame([*enumerate(items)], "item_id long, text string")).collect()}
+    assert len(found & set(range(20))) >= 19 and not found & set(range(40, 60))
+
+
+def test_leaks_in_a_very_long_text(spark):
+    rng = random.Random(33)
+    long = prose(rng, 60_000)
+    rows = decontamination.leaks(frame(spark, [long, f"{long} {ITEMS[1][1]} {long}", f"{ITEMS[1][1]} " * 300]), spark.createDataFrame(ITEMS, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in rows} == {(1, 2), (2, 2)}
+
+
 def test_template_form(spark):
     row = spark.range(1).select(decontamination.template(F.lit("He walked 3.5 km with Anna-Lisa, then 1,200 m. End2 x")).alias("t")).first()["t"]
     assert row == "he walked \u00023\u00045 \u0005km with \u0003anna lisa then \u00021\u0004200 \u0005m end \u00022 x"
@@ -880,3 +995,72 @@ def test_pipeline(spark):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001").toPandas()
     assert set(SCHEMA.replace(" long", "").replace(" string", "").split(", ")) < set(got.columns) and got.doc_id.value_counts().max() <= 3
     assert (got.groupby("shard").slot.max() + 1 == got.groupby("shard").slot.count()).all()
+
+
+def test_pipeline_as_brute_force(spark, tmp_path):
+    """Each stage on odd rows (nulls, empty and very long texts, repeats, no id) against what its definition says of its input."""
+    import corpus_pipeline
+
+    rng = random.Random(41)
+    item = "a quick brown fox jumps over the lazy dog while seven cats are watching from the old wooden fence near the river bank today"
+    texts = []
+    for i in range(300):
+        w = prose(rng, rng.randint(20, 60)).split()
+        texts.append(" ".join(x.upper() + "!!" for x in w) if i % 2 == 0 else " ".join(w))
+    near = texts[1].split()
+    near[5] = "other"
+    texts += [texts[1], " ".join(near) + " more", f"{texts[7]} {item} {texts[3]}", "", None, prose(rng, 30_000), texts[5], texts[5]]
+    rows = [(i, t, "en", ("a", "b", None)[i % 3], len(t) if t is not None else None) for i, t in enumerate(texts)] + [(None, prose(rng, 40), None, "a", None)] * 2
+    folder = str(tmp_path)
+    spark.createDataFrame(rows, SCHEMA).withColumn("shard", F.lit("clash")).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, i % 2, 0) for i in range(280)] + [(9999, 1, 0), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, item), (2, None), (3, "short")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    names, before = docs.columns, [tuple(r) for r in docs.collect()]
+    for no, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, folder).write.parquet(f"{folder}/stage{no}")
+        out = spark.read.parquet(f"{folder}/stage{no}")
+        after = [tuple(r) for r in out.select(*names).collect()]
+        assert name == "sharding" or out.columns == names
+        if name == "quality":
+            m = quality.train(docs, quality.graded(spark.read.parquet(f"{folder}/labels.parquet")))
+            good = lambda t: quality.tails(m, *quality.features(pa.array([t or ""])))[0][1] >= 0.7
+            want = Counter(r for r in before if good(r[1]))
+            assert Counter(after) == want and sum(r[0] is not None and r[0] % 2 > 0 for r in after) > 120
+        elif name == "near_dedup":
+            classes = brute_classes({i: r[1] for i, r in enumerate(before) if r[1] is not None})
+            groups = defaultdict(list)
+            for i, c in classes.items():
+                groups[c].append(before[i])
+            want = [min(g, key=lambda r: (r[0] is None, r[0] or 0)) for g in groups.values()] + [r for r in before if r[1] is None]
+            assert sorted(map(str, (r[:2] for r in after))) == sorted(map(str, (r[:2] for r in want))) and len(after) < len(before)
+        elif name == "decontamination":
+            bad = {d for d, _ in brute_leaks({i: r[1] for i, r in enumerate(before)}, {1: item, 2: None, 3: "short"})}
+            assert sorted(map(str, after)) == sorted(str(r) for i, r in enumerate(before) if i not in bad) and bad
+        elif name == "mixing":
+            size = lambda r: len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or ""))
+            many, had = Counter(after), Counter(before)
+            assert set(many) <= set(had) and all(n <= 3 * had[r] for r, n in many.items())
+            sizes = defaultdict(int)
+            for r in before:
+                sizes[r[3]] += size(r)
+            order = sorted(s for s in sizes if s is not None) + [None]
+            for s, target in water_fill({s: sizes[s] for s in order}, {s: 1 + i % 3 for i, s in enumerate(order)}).items():
+                # whole copies: as near as the source's largest document allows
+                assert abs(sum(size(r) for r in after if r[3] == s) - target) <= max(0.02 * target, 60, max(size(r) for r in before if r[3] == s) / 2), s
+        else:
+            assert Counter(after) == Counter(before)
+            places = defaultdict(list)
+            for r in out.collect():
+                places[r["shard_"]].append(r["slot"])
+            assert all(sorted(x) == list(range(len(x))) for x in places.values()) and max(map(len, places.values())) - min(map(len, places.values())) <= 1
+        docs, before = out.select(*names), after
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+
+    empty(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
