@@ -147,4 +147,38 @@ bad AS (SELECT f.host, list(l) AS bad FROM f JOIN n ON n.host = f.host WHERE n.p
 k AS (SELECT page_id, url, ls, list_filter(ls, lambda x: bad IS NULL OR NOT list_contains(bad, trim(x))) AS kept FROM c LEFT JOIN bad ON bad.host = c.host)
 SELECT page_id, url, array_to_string(kept, chr(10)) AS text, len(ls) AS n_lines, len(ls) - len(kept) AS n_dropped FROM k"""
 
-ORACLES: dict[str, str] = {"op1_near_dedup": _OP1_SQL, "op5_secrets": _OP5_SQL, "op6_line_dedup": _OP6_SQL}
+# Template words are a list here; a placeholder begins with its mark. Marks of decimals and names are put in twice, as matches may not share a character.
+_D = decontamination
+_TEMPLATE_SQL = "lower(T2)"
+for _name, _pattern, _new in (("T2", "([\\p{Ll}\\p{Nd},;] )(\\p{Lu}[\\p{L}\\p{M}]+)", "'\\1' || chr(3) || '\\2'"), ("T1", "(\\p{Nd})[.,](\\p{Nd})", "'\\1' || chr(4) || '\\2'")):
+    _inner = "T1" if _name == "T2" else "regexp_replace(text, '[\\x02-\\x05]', ' ', 'g')"
+    _TEMPLATE_SQL = _TEMPLATE_SQL.replace(_name, f"regexp_replace(regexp_replace({_inner}, '{_pattern}', {_new}, 'g'), '{_pattern}', {_new}, 'g')")
+_WORDS_SQL = f"string_split(trim(regexp_replace(regexp_replace({_TEMPLATE_SQL}, '([\\p{{Nd}}\\x04]+)', ' ' || chr(2) || '\\1 ', 'g'), '[^\\p{{L}}\\p{{M}}\\p{{Nd}}\\x02-\\x05]+', ' ', 'g')), ' ')"
+_UNITS_SQL = ", ".join(f"'{u}'" for u in _D.UNITS)
+
+
+def _runs_sql(ids: str, table: str) -> str:
+    """Runs of template words of a table: ids, place, words, whether joined by template, key."""
+    return f"""SELECT {ids}, place, w, literal, array_to_string(CASE WHEN literal THEN list_transform(w, lambda x: CASE WHEN x[1] IN (chr(2), chr(3), chr(5)) THEN x[1] ELSE x END) ELSE w END, ' ') AS key
+FROM (SELECT *, len(list_filter(w, lambda x: x[1] IN (chr(2), chr(3), chr(5)))) <= {_D.WINDOW - min(_D.LITERALS, _D.WINDOW)} AS literal FROM (SELECT {ids}, place, ws[place:place + {_D.WINDOW - 1}] AS w FROM (SELECT {ids}, ws, unnest(range(1, len(ws) - {_D.WINDOW - 2})) AS place FROM
+ (SELECT {ids}, list_transform(ws, lambda x, i: CASE WHEN i > 1 AND ws[i - 1][1] = chr(2) AND x IN ({_UNITS_SQL}) THEN chr(5) || x ELSE x END) AS ws FROM (SELECT DISTINCT {ids}, {_WORDS_SQL} AS ws FROM {table} WHERE text IS NOT NULL)))))"""
+
+
+_OP10_SQL = f"""WITH b AS ({_runs_sql("item_id", "benchmark")}), n AS (SELECT item_id, count(DISTINCT key) AS windows, count(DISTINCT key) FILTER (WHERE literal) AS literal_windows FROM b GROUP BY ALL),
+d AS (SELECT * FROM ({_runs_sql("doc_id, text", "documents")}) WHERE key IN (SELECT key FROM b)),
+hit AS (SELECT doc_id, text, item_id, d.place - b.place AS diagonal, b.place AS q, d.key, d.literal, CASE WHEN d.literal THEN list_distinct(list_filter(list_zip(b.w, d.w), lambda z: z[1][1] IN (chr(2), chr(3), chr(5)))) ELSE [] END AS pairs FROM d JOIN b USING (key)),
+v AS (SELECT doc_id, text, item_id, diagonal, q, unnest(pairs) AS pair FROM hit),
+holds AS (SELECT doc_id, text, item_id, diagonal, pair, count(*) AS holds FROM v GROUP BY ALL),
+every AS (SELECT doc_id AS ed, text AS et, item_id AS ei, diagonal AS eg, pair[1] AS x, count(DISTINCT q) AS every FROM v GROUP BY ALL),
+line AS (SELECT doc_id, text, item_id, diagonal, count(*) = count(DISTINCT pair[1]) AS consistent FROM holds GROUP BY ALL),
+judged AS (SELECT holds.*, consistent, 2 * holds > every AS most FROM holds JOIN every ON doc_id = ed AND text = et AND item_id = ei AND diagonal = eg AND pair[1] = x JOIN line USING (doc_id, text, item_id, diagonal)),
+usual AS (SELECT doc_id, text, item_id, diagonal, pair, consistent OR most OR (pair[1] = pair[2] AND NOT coalesce(bool_or(most) OVER (PARTITION BY doc_id, text, item_id, diagonal, pair[1]), false)) AS usual FROM judged),
+bad AS (SELECT doc_id, text, item_id, diagonal, q, bool_and(pair[1] = pair[2]) AS own FROM v GROUP BY ALL HAVING NOT bool_and((doc_id, text, item_id, diagonal, pair) IN (SELECT (doc_id, text, item_id, diagonal, pair) FROM usual WHERE usual))),
+held AS (SELECT * FROM hit ANTI JOIN (SELECT * FROM bad WHERE NOT own) x USING (doc_id, text, item_id, diagonal, q)),
+row_of AS (SELECT doc_id, text, item_id, diagonal, q - row_number() OVER (PARTITION BY doc_id, text, item_id, diagonal ORDER BY q) AS island FROM held),
+longest AS (SELECT doc_id, text, item_id, max(n) AS longest FROM (SELECT doc_id, text, item_id, diagonal, island, count(*) AS n FROM row_of GROUP BY ALL) GROUP BY ALL),
+found AS (SELECT doc_id, text, item_id, count(DISTINCT key) AS matched, count(DISTINCT key) FILTER (WHERE literal) AS literal FROM held GROUP BY ALL)
+SELECT doc_id, item_id, matched, windows, longest FROM found JOIN n USING (item_id) JOIN longest USING (doc_id, text, item_id)
+WHERE matched >= {_D.CONTAINMENT} * windows OR (literal > 0 AND literal >= {_D.CONTAINMENT} * literal_windows) OR longest >= {_D.PASSAGE - _D.WINDOW + 1}"""
+
+ORACLES: dict[str, str] = {"op1_near_dedup": _OP1_SQL, "op5_secrets": _OP5_SQL, "op6_line_dedup": _OP6_SQL, "op10_decontamination": _OP10_SQL}
