@@ -648,8 +648,10 @@ def test_no_raw_value_in_shuffle_files(spark, masked, tmp_path):
 
 def test_database_as_source_and_target(spark, tmp_path, monkeypatch):
     """A run over JDBC from the command line: introspected, masked, loaded with its keys, checked, and checked again."""
+    from cloakwork.sources import jdbc_catalog as module
     from cloakwork.sources.jdbc_catalog import DRIVERS, Database, driver_of, foreign_details, jdbc_address, jdbc_catalog
 
+    monkeypatch.setattr(module, "RANGE", 8)
     src, dst = f"jdbc:derby:{tmp_path}/src;create=true", f"jdbc:derby:{tmp_path}/dst;create=true"
     with Database(spark, src, DRIVERS["derby"]) as db:
         db.run(
@@ -667,7 +669,7 @@ def test_database_as_source_and_target(spark, tmp_path, monkeypatch):
     assert main(["run", "--policy", str(tmp_path / "policy.yaml"), "--run-id", "db"]) == 0
     assert main(["verify", "--policy", str(tmp_path / "policy.yaml"), "--run-id", "db"]) == 0
     got = jdbc_catalog(spark, dst, DRIVERS["derby"])
-    assert got["APP.ORDERS"].count() == 40 and got["APP.PEOPLE"].where("FULL_NAME like 'Person%'").count() == 0
+    assert got["APP.ORDERS"].rdd.getNumPartitions() == 5 and got["APP.ORDERS"].count() == 40 and got["APP.PEOPLE"].where("FULL_NAME like 'Person%'").count() == 0
     assert [k.columns for k in got.foreign_keys] == [("PERSON",)] and got.primary_key("APP.PEOPLE").columns == ("ID",)
     doc = json.loads((tmp_path / "runs/db/report.json").read_text())
     assert all(t["row_count_equal"] for t in doc["tables"]) and {g["entity_type"] for g in doc["groups"]} == {"person_name", "email"} and set(doc["artifacts"]) == {"target", "plan", "registry", "markdown_report"}
