@@ -28,7 +28,7 @@ from .plans.policy import ColumnRef, Generation, Group, Policy
 from .plans.report import benchmark, escape_cell
 from .plans.settings import redact
 from .plans.stages import Interrupted, before_after, run_masking
-from .sources.jdbc_catalog import DRIVERS
+from .sources.jdbc_catalog import DRIVERS, jdbc_catalog
 from .sources.tables import jdbc_table, parquet_catalog, read_jsonl, write_jsonl
 
 TEST_KEY = b"cloakwork public test key, 32 B."
@@ -484,9 +484,25 @@ def column_catalog(spark, d):
     return spark.createDataFrame([(c.ref.table, c.ref.column, c.is_primary_key) for c in found], "table_name string, column_name string, is_primary_key boolean")
 
 
+@_query("SELECT 'public.' || table_name AS table_name, column_name, 'people' AS group_id FROM information_schema.columns WHERE column_name LIKE '%\\_name' ESCAPE '\\' AND table_name IN ('customer', 'supplier')")
+def transform_plan(spark, d):
+    rows = [(t, c, g) for t, columns in POLICY.by_table().items() for c, g in columns.items()]
+    return spark.createDataFrame(rows, "table_name string, column_name string, group_id string")
+
+
 _KIND_SQL = "CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(data_type) END"
 
 
+@_query(f"SELECT table_name, column_name, {_KIND_SQL} AS type FROM information_schema.columns WHERE table_name IN ('region', 'nation')")
+def introspected_columns(spark, d):
+    """Two tables written to a database in memory, as its metadata tell them: without the system's own."""
+    url, driver = f"jdbc:derby:memory:m{uuid.uuid4().hex};create=true", DRIVERS["derby"]
+    for t in ("region", "nation"):
+        _t(spark, d, t).write.format("jdbc").option("url", url).option("dbtable", t).option("driver", driver).save()
+    found = jdbc_catalog(spark, url, driver).snapshot().columns
+    return spark.createDataFrame([(c.ref.table.lower(), c.ref.column, c.type) for c in found], "table_name string, column_name string, type string")
+
+
 @_query(f"""SELECT 'key' AS what, sha256(encode('{TEST_KEY.decode()}')) AS digest UNION ALL SELECT 'schema',
  sha256(encode('{{"columns":[' || string_agg('["public","nation","' || column_name || '","' || {_KIND_SQL} || '",null,' || CASE column_name WHEN 'n_nationkey' THEN 'true' ELSE 'false' END || ',false]', ',' ORDER BY column_name) || '],"foreign_keys":[]}}')) FROM information_schema.columns WHERE table_name = 'nation'""")
 def fingerprints(spark, d):
@@ -603,6 +619,15 @@ def request_sizes(spark, d):
     return spark.createDataFrame([(n, loop.request_size(n)) for n in range(1, 1001)], "remaining long, asked long")
 
 
+@_query("""SELECT CAST(n AS BIGINT) AS number, e AS entity, 'Batch ' || n || ': write 13 different made-up ' || e || ' values for locale en: made up. 1 to 60 characters.' ||
+CASE e WHEN 'email' THEN ' Let every local part end in .' || n || '.' WHEN 'phone' THEN ' Let the last two digits differ from number to number, starting at ' || lpad(CAST(n * 37 % 100 AS VARCHAR), 2, '0') || '.' ELSE '' END AS asked
+FROM range(1, 121) t(n), (VALUES ('person_name'), ('email'), ('phone'), ('address')) u(e)""")
+def prompts(spark, d):
+    """What a model is asked: entity, locale, limits and a number, nothing of the source."""
+    rows = [(n, e, G.prompt(G.Request(e, "en", "made up", 1, 60, None, 13, n))) for n in range(1, 121) for e in ("person_name", "email", "phone", "address")]
+    return spark.createDataFrame(rows, "number long, entity string, asked string")
+
+
 @_query("""SELECT CAST(c_custkey AS BIGINT) AS c_custkey, CASE c_custkey % 5 WHEN 0 THEN 1 WHEN 1 THEN 2 END AS items FROM customer""")
 def parsed_answers(spark, d):
     """How many values an answer holds; null for answers of another form."""
