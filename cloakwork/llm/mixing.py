@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.numbering import numbered
 from .common import free_name, materialize
 
 #: No document is taken more often, no source beyond so many times its size.
@@ -42,23 +43,26 @@ def size_of(text_col: str):
 
 def cycle_weights(sources: DataFrame) -> DataFrame:
     """sources with the column weight: 1, 2, 3, 1, ... in code point order, null last."""
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    return sources.withColumn("weight", (1 + (F.row_number().over(order) - 1) % 3).cast("double"))
+    return numbered(sources, [F.col("source").asc_nulls_last()], "weight").withColumn("weight", (1 + (F.col("weight") - 1) % 3).cast("double"))
 
 
 def water_fill(sources: DataFrame, most: int = MOST) -> DataFrame:
     """sources (source, source_size, weight) with target: shares of all words by weight, no target above `most` times
     the source's size; the excess is shared again by weight.
 
-    Sources in the order in which they reach their cap: a prefix of them is capped, and the rest share what remains.
+    The share of one weight rises as sources reach their cap, so more may reach theirs: it is summed up anew until none does.
     """
-    everything = Window.partitionBy(F.lit(0))
-    order = everything.orderBy("full", F.col("source").asc_nulls_last())
-    s = sources.withColumn("cap", (most * F.col("source_size")).cast("double")).withColumn("full", F.col("cap") / F.col("weight"))
-    s = s.withColumns({"all_words": F.sum("source_size").over(everything), "all_weight": F.sum("weight").over(everything), "capped": F.sum("cap").over(order) - F.col("cap"), "gone": F.sum("weight").over(order) - F.col("weight")})
-    s = s.withColumn("level", (F.col("all_words") - F.col("capped")) / (F.col("all_weight") - F.col("gone")))
-    s = s.withColumn("level", F.max(F.when(F.col("full") >= F.col("level"), F.col("level"))).over(everything))
-    return s.withColumn("target", F.when(F.col("level").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("level") * F.col("weight")))).select("source", "source_size", "weight", "target")
+    s = sources.withColumn("cap", most * F.col("source_size"))
+    words, weight = s.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0.0))).first()
+    level, capped = 0.0, None
+    while True:
+        full = F.col("cap") <= F.lit(level) * F.col("weight")
+        cap, gone, count = s.where(full).agg(F.coalesce(F.sum("cap"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0.0)), F.count(F.lit(1))).first()
+        if count == capped:
+            break
+        capped = count
+        level = (words - cap) / (weight - gone) if weight > gone else math.inf
+    return s.select("source", "source_size", "weight", F.least(F.col("cap").cast("double"), F.lit(level) * F.col("weight")).alias("target"))
 
 
 #: Newton iterations at most, and the gradient (in parts of the source's words) that ends them.
@@ -150,7 +154,7 @@ def mix_sources(docs: DataFrame, weigh=cycle_weights, source_col: str = "source"
     sized = docs.withColumns({size: size_of(text_col), row: F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith("map")])})
     cells = materialize(sized.groupBy(F.col(source_col).alias("source"), F.col(size).alias("size")).agg(F.count(F.lit(1)).alias("n")), "cells")
     sources = cells.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    goals = materialize(water_fill(weigh(sources), most), "goals")
+    goals = materialize(water_fill(materialize(weigh(sources), "weights"), most), "goals")
 
     def balance(cell: pa.Table) -> pa.Table:
         """Whole copies of one source's cells (its different sizes, however many documents it has)."""

@@ -206,6 +206,18 @@ def test_newton_meets_targets():
         assert abs((copies * np.sort(size)[::-1]).sum() - share * whole) <= 0.001 * whole
 
 
+def test_targets_of_many_sources_as_brute_force(spark):
+    """Caps that are reached one after the other, sources without words, and many sources."""
+    rng = random.Random(6)
+    for sizes in ({"a": 1, "b": 1, "c": 1000}, {"a": 0, "b": 0}, {f"s{i:04d}": int(10 ** rng.uniform(0, 6)) for i in range(500)} | {None: 7}, {"one": 5}):
+        order = sorted(s for s in sizes if s is not None) + [None] * (None in sizes)
+        df = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, source_size long")
+        got = {r["source"]: r for r in mixing.water_fill(mixing.cycle_weights(df)).collect()}
+        assert {s: r["weight"] for s, r in got.items()} == {s: 1 + i % 3 for i, s in enumerate(order)}
+        want = water_fill({s: sizes[s] for s in order}, {s: 1 + i % 3 for i, s in enumerate(order)})
+        assert all(abs(got[s]["target"] - want[s]) <= 1e-6 * max(1, want[s]) for s in order)
+
+
 def test_distributed_newton_as_on_one_machine(spark):
     """The rates of every source at once, among them one that must reach the bound and one without words."""
     rng = random.Random(4)
