@@ -187,8 +187,9 @@ def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col:
     got = sparse_rows.join(F.broadcast(kept.select("doc_id", "grade").distinct()), ["doc_id", "grade"], "left_semi").drop("order").toArrow()
     got = got.sort_by([("doc_id", "ascending"), ("grade", "ascending")]).combine_chunks()
     at = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(got.column("i"))))]).astype(np.int64)
-    i, v, grades = np.asarray(pc.list_flatten(got.column("i"))), np.asarray(pc.list_flatten(got.column("v"))), np.asarray(got.column("grade")).astype(np.int64)
+    i, v, grades = (np.array(x) for x in (pc.list_flatten(got.column("i")), pc.list_flatten(got.column("v")), got.column("grade").cast(pa.int64())))  # copies, so that the table can go
     del got
+    pa.default_memory_pool().release_unused()
     return fit(i, v, at, grades)
 
 
