@@ -28,6 +28,7 @@ from .plans.policy import ColumnRef, Generation, Group, Policy
 from .plans.report import benchmark, escape_cell
 from .plans.settings import redact
 from .plans.stages import Interrupted, before_after, run_masking
+from .sources.embedded import embedded_database
 from .sources.jdbc_catalog import DRIVERS, jdbc_catalog
 from .sources.tables import jdbc_table, parquet_catalog, read_jsonl, write_jsonl
 
@@ -495,11 +496,9 @@ _KIND_SQL = "CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'in
 
 @_query(f"SELECT table_name, column_name, {_KIND_SQL} AS type FROM information_schema.columns WHERE table_name IN ('region', 'nation')")
 def introspected_columns(spark, d):
-    """Two tables written to a database in memory, as its metadata tell them: without the system's own."""
-    url, driver = f"jdbc:derby:memory:m{uuid.uuid4().hex};create=true", DRIVERS["derby"]
-    for t in ("region", "nation"):
-        _t(spark, d, t).write.format("jdbc").option("url", url).option("dbtable", t).option("driver", driver).save()
-    found = jdbc_catalog(spark, url, driver).snapshot().columns
+    """Two tables written to a database, as its metadata tell them: without the system's own."""
+    url = embedded_database(spark, {t: _t(spark, d, t) for t in ("region", "nation")})
+    found = jdbc_catalog(spark, url, DRIVERS["derby"]).snapshot().columns
     return spark.createDataFrame([(c.ref.table.lower(), c.ref.column, c.type) for c in found], "table_name string, column_name string, type string")
 
 

@@ -698,3 +698,42 @@ def test_query_registry_needs_no_corpus_package():
 
     code = "import sys; sys.modules['cloakwork.llm'] = None; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; q = e.queries(); assert set(q) == set(e.oracle_sql()) and len(q) > 30"
     assert subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__)))).returncode == 0
+
+
+def on_a_cluster(tmp_path, query: str) -> list[dict]:
+    """Rows of a query on the smallest tables, with executors in processes of their own."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = f"""
+import json
+from pyspark.sql import SparkSession
+from cloakwork.queries import QUERIES
+spark = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.driver.host", "127.0.0.1").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "file://{tmp_path}/shared").config("spark.local.dir", "{tmp_path}/local").getOrCreate()
+print("rows:" + json.dumps([r.asDict() for r in QUERIES["{query}"](spark, "/root/testdata/sf0.001").collect()]))
+"""
+    env = {k: v for k, v in os.environ.items() if not k.startswith("PYSPARK_") and k not in ("SPARK_CONNECT_MODE_ENABLED", "SPARK_ENV_LOADED")} | {"PYTHONPATH": str(Path(__file__).resolve().parent.parent), "PYSPARK_PYTHON": sys.executable}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    found = [x for x in done.stdout.splitlines() if x.startswith("rows:")]
+    assert found, done.stderr[-2000:]
+    return json.loads(found[0].removeprefix("rows:"))
+
+
+def test_introspection_on_a_cluster(tmp_path):
+    """The database that is introspected was made where executors can't reach it."""
+    got = {(r["table_name"], r["column_name"]): r["type"] for r in on_a_cluster(tmp_path, "introspected_columns")}
+    assert set(got) == {("region", "r_regionkey"), ("region", "r_name"), ("nation", "n_nationkey"), ("nation", "n_name"), ("nation", "n_regionkey")}
+    assert got["nation", "n_name"] == "string" and got["nation", "n_nationkey"] == "int"
+
+
+def test_embedded_database_keeps_texts(spark):
+    """Null, empty, quotes, line ends: what Derby imports is what was there. Two databases, one of them without rows, stay apart."""
+    from cloakwork.sources.embedded import embedded_database
+    from cloakwork.sources.jdbc_catalog import DRIVERS
+
+    texts = [(1, None), (2, ""), (3, 'a "b", c'), (4, "two\nlines\r\n"), (5, " пробел\t")]
+    df = spark.createDataFrame(texts, "id long, text string")
+    url, other = embedded_database(spark, {"t": df}), embedded_database(spark, {"t": df.where("id < 0")})
+    read = lambda at: {r[0]: r[1] for r in jdbc_table(spark, at, "t", properties={"driver": DRIVERS["derby"]}).collect()}
+    assert read(url) == dict(texts) and read(other) == {}
