@@ -472,10 +472,10 @@ def jsonl_round_trip(spark, d):
 
 @_query("SELECT c_custkey, c_name, c_nationkey FROM customer")
 def jdbc_round_trip(spark, d):
-    """Written to a database in memory and read from it in four ranges of the key."""
-    url, driver = f"jdbc:derby:memory:m{uuid.uuid4().hex};create=true", DRIVERS["derby"]
-    _t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey").write.format("jdbc").option("url", url).option("dbtable", "people").option("driver", driver).save()
-    got = jdbc_table(spark, url, "people", 500, {"driver": driver}, ("c_custkey", 0, 2000, 4))
+    """Written to a database and read from it by the executors, in four ranges of the key."""
+    people = _t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    low, high = people.agg(F.min("c_custkey"), F.max("c_custkey")).first()
+    got = jdbc_table(spark, embedded_database(spark, {"people": people}), "people", 500, {"driver": DRIVERS["derby"]}, ("c_custkey", low or 0, (high or 0) + 1, 4))
     return got.select(*[F.col(c).alias(c.lower()) for c in got.columns])
 
 

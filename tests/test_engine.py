@@ -727,6 +727,12 @@ def test_introspection_on_a_cluster(tmp_path):
     assert got["nation", "n_name"] == "string" and got["nation", "n_nationkey"] == "int"
 
 
+def test_database_is_read_by_a_cluster(spark, tmp_path):
+    rows = spark.read.parquet("/root/testdata/sf0.001/customer.parquet").select("c_custkey", "c_name", "c_nationkey").collect()
+    got = on_a_cluster(tmp_path, "jdbc_round_trip")
+    assert sorted((r["c_custkey"], r["c_name"], r["c_nationkey"]) for r in got) == sorted(tuple(r) for r in rows)
+
+
 def test_embedded_database_keeps_texts(spark):
     """Null, empty, quotes, line ends: what Derby imports is what was there. Two databases, one of them without rows, stay apart."""
     from cloakwork.sources.embedded import embedded_database
