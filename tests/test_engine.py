@@ -743,3 +743,12 @@ def test_embedded_database_keeps_texts(spark):
     url, other = embedded_database(spark, {"t": df}), embedded_database(spark, {"t": df.where("id < 0")})
     read = lambda at: {r[0]: r[1] for r in jdbc_table(spark, at, "t", properties={"driver": DRIVERS["derby"]}).collect()}
     assert read(url) == dict(texts) and read(other) == {}
+
+
+def test_letters_go_on_after_three(spark):
+    """Numbers beyond ZZZ take a fourth letter, not characters beyond Z, among which capitals and small letters would coincide after normalisation."""
+    ends = {18278: "ZZZ", 18279: "AAAA", 475254: "ZZZZ", 475255: "AAAAA"}
+    got = spark.createDataFrame([(n,) for n in ends], "n long").select("n", synthetic("person_name", F.col("n")).alias("v")).collect()
+    assert {r["n"]: r["v"].split(" ")[2] for r in got} == ends
+    pairs = spark.createDataFrame([(n,) for n in (570571, 613835)], "n long").select(synthetic("person_name", F.col("n")).alias("v")).collect()
+    assert len({normalize(r["v"], "human_text") for r in pairs}) == 2
