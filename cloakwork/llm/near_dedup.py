@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -110,22 +111,22 @@ def bags(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return counted(*shingles(*words(*buffers(texts)), k))
 
 
-def nibbles(sig: np.ndarray) -> np.ndarray:
-    """Four hashed bits of each component of a signature, sixteen components in a long."""
+def planes(sig: np.ndarray) -> np.ndarray:
+    """Four hashed bits of each component of a signature; the first bits of 64 components in a long, then their second, third and fourth ones."""
     n, m = sig.shape
-    four = np.zeros((n, -(-m // 16), 16), np.uint64)
-    four.reshape(n, -1)[:, :m] = mix(sig) >> _U(60)
-    return (four << (np.arange(16, dtype=np.uint64) * _U(4))).sum(axis=2, dtype=np.uint64).view(np.int64)
+    bits = np.zeros((n, -(-m // 64), 4, 64), np.uint64)
+    bits[:] = np.pad(mix(sig) >> _U(60), ((0, 0), (0, -m % 64))).reshape(n, -1, 1, 64) >> np.arange(4, dtype=np.uint64)[:, None] & _U(1)
+    return (bits << np.arange(64, dtype=np.uint64)).sum(axis=3, dtype=np.uint64).reshape(n, -1).view(np.int64)
 
 
 def _unlike(x: str, y: str, longs: int):
-    """Number of nibbles in which two sketches differ, as a column."""
+    """Number of components in which two sketches differ, as a column.
+
+    It names each long once: Spark repeats the code of whatever is named twice in a join's condition, and Java leaves long methods uncompiled.
+    """
     total = F.lit(0)
-    for i in range(longs):
-        d = F.col(x)[i].bitwiseXOR(F.col(y)[i])
-        d = d.bitwiseOR(F.shiftrightunsigned(d, 2))
-        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
-        total = total + F.bit_count(d.bitwiseAND(F.lit(0x1111111111111111)))
+    for i in range(0, longs, 4):
+        total = total + F.bit_count(reduce(lambda d, e: d.bitwiseOR(e), [F.get(x, F.lit(j)).bitwiseXOR(F.get(y, F.lit(j))) for j in range(i, i + 4)]))
     return total
 
 
@@ -146,7 +147,7 @@ def _signer(k: int, bands: int, rows: int):
                 data, offs = buffers(texts)
                 raw, valid = data.tobytes(), texts.is_valid().to_pylist()
                 digest = [hashlib.md5(raw[x:y]).digest() if ok else None for x, y, ok in zip(offs[:-1].tolist(), offs[1:].tolist(), valid, strict=True)]
-                sketch = nibbles(sig.reshape(len(texts), bands * rows))
+                sketch = planes(sig.reshape(len(texts), bands * rows))
                 longs = pa.ListArray.from_arrays(np.arange(0, sketch.size + 1, sketch.shape[1], dtype=np.int32), pa.array(sketch.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(digest, pa.binary()), listed, longs], ["id", "digest", "bands", "sketch"])
 
@@ -166,14 +167,20 @@ def overlap(ea: np.ndarray, wa: np.ndarray, eb: np.ndarray, wb: np.ndarray) -> f
 def _verifier(k: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            out, last, ea, wa = [], None, None, None
-            for x, y in zip(a, b, strict=True):
-                if x != last:  # many links of one node follow each other
-                    last, (ea, wa, _) = x, bags(pa.array([x], pa.large_string()), k)
-                eb, wb, _ = bags(pa.array([y], pa.large_string()), k)
-                out.append(overlap(ea, wa, eb, wb))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], ["a", "b", "sim"])
+            left, right = batch.column(2), batch.column(3)
+            ends = np.cumsum(np.diff(buffers(left)[1]) + np.diff(buffers(right)[1]))
+            i = 0
+            while i < len(batch):  # runs of rows of about 2 MB of text
+                j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + (1 << 21), "right")))
+                coded = pa.concat_arrays([left[i:j], right[i:j]]).dictionary_encode()  # a text of many links is read once
+                held = []
+                for x, y in _pieces(coded.dictionary):
+                    e, w, at = bags(coded.dictionary[x:y], k)
+                    held += [(e[p:q], w[p:q]) for p, q in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                of = coded.indices.to_numpy().reshape(2, -1)
+                sim = pa.array([overlap(*held[x], *held[y]) for x, y in of.T.tolist()], pa.float64())
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], batch.column(1)[i:j], sim], ["a", "b", "sim"])
+                i = j
 
     return verify
 
@@ -230,8 +237,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     m = bands * rows
     most = m * 15 / 16 * (1 - threshold) + ERRORS * (m * 15 / 16 * (1 - threshold) * (1 - 15 / 16 * (1 - threshold))) ** 0.5
     apart = (F.col("root") != F.col("s_root")) & (~F.col("stray") | (F.col("s") < F.col("nid")))
-    hopeful = (F.abs(F.col("far") - F.col("s_far")) <= 1 - threshold + 1e-9) & (_unlike("sketch", "s_sketch", -(-m // 16)) <= most)
-    once = F.col("key") == F.coalesce(*[F.when(F.col("bands")[i] == F.col("s_bands")[i], F.col("bands")[i]) for i in range(bands)])  # in the first band that a pair shares
+    hopeful = (F.abs(F.col("far") - F.col("s_far")) <= 1 - threshold + 1e-9) & (_unlike("sketch", "s_sketch", -(-m // 64) * 4) <= most)
+    once = F.col("key") == F.get(F.array_intersect("bands", "s_bands"), F.lit(0))  # in the first band that a pair shares
     open_pairs = strays.join(others, "key").where(apart & hopeful & once)
     open_pairs = open_pairs.select(F.greatest("s", "nid").alias("b"), F.least("s", "nid").alias("a")).distinct()
     more = materialize(_similar(open_pairs, texts, k).where(F.col("sim") >= threshold).select("a", "b"), "more")

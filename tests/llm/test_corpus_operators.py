@@ -141,6 +141,49 @@ def test_near_duplicates_edge_rows(spark):
     assert near_dedup.deduplicate(empty(spark)).count() == 0
 
 
+def test_pairs_of_a_band_are_compared_in_compiled_code(spark, monkeypatch):
+    """Java leaves a method of more than 8,000 bytes uncompiled: each pair that the last join looked at took over 30 microseconds."""
+    asked, similar = [], near_dedup._similar
+    monkeypatch.setattr(near_dedup, "_similar", lambda pairs, *a: asked.append(pairs) or similar(pairs, *a))
+    monkeypatch.setattr(near_dedup, "small_batches", lambda s: [s.conf.set(k, v) for k, v in plain.items()])
+    plain = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    try:
+        near_dedup.near_duplicates(frame(spark, near_copies()))
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        sizes = re.findall(r"maxMethodCodeSize:(\d+)", asked[-1]._jdf.queryExecution().explainString(mode))
+    finally:
+        for k in plain:
+            spark.conf.unset(k)
+    assert len(asked) == 2 and 0 < max(map(int, sizes)) <= 8000
+
+
+def test_sketches_differ_where_their_components_do(spark):
+    rng = np.random.default_rng(4)
+    for m in (64, 216):
+        sig = rng.integers(0, 2**32, (40, m)).astype(np.uint64)
+        sig[1::2] = np.where(rng.random((20, m)) < rng.random((20, 1)), sig[1::2], sig[::2])
+        sketch = near_dedup.planes(sig)
+        four = near_dedup.mix(sig) >> np.uint64(60)
+        df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(zip(sketch[::2].tolist(), sketch[1::2].tolist(), strict=True))], "i int, x array<long>, y array<long>")
+        got = [r[0] for r in df.orderBy("i").select(near_dedup._unlike("x", "y", sketch.shape[1])).collect()]
+        assert got == (four[::2] != four[1::2]).sum(axis=1).tolist()
+
+
+def test_links_of_a_text_are_verified_together(monkeypatch):
+    rng = random.Random(6)
+    hub = prose(rng, 120)
+    texts = [" ".join(w if rng.random() < 0.99 else "new" for w in hub.split()) for _ in range(100)] + ["", hub, "long " * 600_000]
+    read, bags = [], near_dedup.bags
+    monkeypatch.setattr(near_dedup, "bags", lambda t, k: read.append(len(t)) or bags(t, k))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(103)), pa.array(range(103, 206)), pa.array(texts), pa.array([hub] * 103)], ["a", "b", "ta", "tb"])
+    out = pa.Table.from_batches(near_dedup._verifier(5)([batch]))
+    assert out["a"].to_pylist() == list(range(103)) and out["b"].to_pylist() == list(range(103, 206))
+    assert sum(read) <= 105 and len(read) <= 5
+    for t, sim in zip(texts[:102], out["sim"].to_pylist(), strict=False):
+        x, y = (Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in (plain_words(t), plain_words(hub)))
+        assert sim == pytest.approx(sum((x & y).values()) / sum((x | y).values()))
+
+
 def test_signature_estimates_weighted_similarity():
     rng = np.random.default_rng(2)
     e = np.sort(rng.integers(1, 2**63, 400).astype(np.uint64))
